@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import sharding
+from factloom.llm import packing, sharding, tokenbin
 from factloom.llm.common import read_table
 
 
+def op2_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op2_vector_best_fit(read_table(spark, sf_dir, "documents"))
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op4_rendezvous_sharding(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_rendezvous_sharding,)}
+def op8_mph_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenbin.op8_mph_token_files(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op4_rendezvous_sharding, op8_mph_token_files)}
 
 ORACLES: dict[str, str] = {}
