@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import packing, sharding, tokenbin
+from factloom.llm import audio, packing, sharding, tokenbin, warc
 from factloom.llm.common import read_table
 
 
@@ -14,14 +14,22 @@ def op2_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op2_vector_best_fit(read_table(spark, sf_dir, "documents"))
 
 
+def op3_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.op3_audio_features(read_table(spark, sf_dir, "documents"))
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op4_rendezvous_sharding(read_table(spark, sf_dir, "documents"))
 
 
+def op6_transaction_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op6_transaction_assembly(read_table(spark, sf_dir, "pages"))
+
+
 def op8_mph_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.op8_mph_token_files(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op4_rendezvous_sharding, op8_mph_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op6_transaction_assembly, op8_mph_token_files)}
 
 ORACLES: dict[str, str] = {}
