@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import audio, packing, sharding, tokenbin, warc
+from factloom.llm import audio, licenses, packing, sharding, tokenbin, warc
 from factloom.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op8_mph_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.op8_mph_token_files(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op6_transaction_assembly, op8_mph_token_files)}
+def op10_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op10_sentence_rules(read_table(spark, sf_dir, "documents"))
 
-ORACLES: dict[str, str] = {}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op6_transaction_assembly, op8_mph_token_files, op10_sentence_rules)}
+
+ORACLES: dict[str, str] = {"op10_sentence_rules": licenses.oracle()}
