@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import audio, decontam, licenses, packing, quality, sharding, tokenbin, warc
+from factloom.llm import audio, decontam, licenses, packing, quality, sharding, tokenbin, toxicity, warc
 from factloom.llm.common import read_table
 
 
@@ -42,6 +42,10 @@ def op10_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op10_sentence_rules(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op5_factorisation_machine, op6_transaction_assembly, op7_qgram_bands, op8_mph_token_files, op10_sentence_rules)}
+def op9_weighted_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op9_weighted_lexicon(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op5_factorisation_machine, op6_transaction_assembly, op7_qgram_bands, op8_mph_token_files, op9_weighted_lexicon, op10_sentence_rules)}
 
 ORACLES: dict[str, str] = {"op10_sentence_rules": licenses.oracle()}
