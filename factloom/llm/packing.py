@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.common import Run, global_ranks, map_rows, running_count, text_of
-from factloom.llm.tokens import WordEncoder, tokenizer_path
+from factloom.llm.tokens import encoder, tokenizer_path
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -26,11 +26,11 @@ def pieces(documents: DataFrame, tokenizer: str, end_id: int, most: int, by_word
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder, end, seen = TaskContext.get().partitionId(), WordEncoder(tokenizer, by_word), struct.pack("<I", end_id), {}
+        part, coder, end, seen = TaskContext.get().partitionId(), encoder(tokenizer, by_word), struct.pack("<I", end_id), {}
         for batch in batches:
             rows = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = memoryview(encoder.encode(t) + end)
+            for k, data in zip(batch.column(0).to_pylist(), coder.encode_many(batch.column(1).to_pylist()), strict=True):
+                ids = memoryview(data + end)
                 rows += [(k, n, at // 4, (len(x := ids[at : at + 4 * most])) // 4, zlib.crc32(x)) for n, at in enumerate(range(0, len(ids), 4 * most))]
             lengths = np.array([r[3] for r in rows], dtype=np.int64)
             columns = list(zip(*rows, strict=True)) or [()] * 5

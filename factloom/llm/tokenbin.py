@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.common import Run, map_rows, text_of
 from factloom.llm.mph import Mph, fingerprints
-from factloom.llm.tokens import WordEncoder, tokenizer_path
+from factloom.llm.tokens import encoder, tokenizer_path
 
 MAGIC = b"FLTOK\x00\x01\x00"
 SEGMENT_TOKENS = 1 << 20
@@ -94,12 +94,12 @@ def write(documents: DataFrame, key: str, text: str, tokenizer: str, end_id: int
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder, end = TaskContext.get().partitionId(), WordEncoder(tokenizer, by_word), struct.pack("<I", end_id)
-        width = 2 if max(encoder.vocab_size, end_id + 1) <= 1 << 16 else 4
+        part, coder, end = TaskContext.get().partitionId(), encoder(tokenizer, by_word), struct.pack("<I", end_id)
+        width = 2 if max(coder.vocab_size, end_id + 1) <= 1 << 16 else 4
         keys, ids, tokens, number = [], [], 0, 0
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = encoder.encode(t) + end
+            for k, data in zip(batch.column(0).to_pylist(), coder.encode_many(batch.column(1).to_pylist()), strict=True):
+                data += end
                 if keys and (tokens + len(data) // 4 > SEGMENT_TOKENS or len(keys) >= SEGMENT_DOCS):
                     yield pa.RecordBatch.from_pydict(_segment(part, number, keys, ids, width), schema=_ARROW)
                     keys, ids, tokens, number = [], [], 0, number + 1

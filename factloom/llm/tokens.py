@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from array import array
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
+
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
+_WORDS, _LONGEST, _SLICE = 600_000, 10, 1 << 21
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Byte-level vocabularies write the bytes that are not printable Latin-1 signs as the signs from U+0100 on.
+_UNPRINTABLE = [*range(33), *range(127, 161), 173]
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(_UNPRINTABLE)}
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -13,42 +24,81 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """Word -> its ids as little-endian 32-bit bytes; the library fills what is missing."""
-
-    def __init__(self, encode, limit: int, longest: int):
-        super().__init__({"": b""})
-        self.encode, self.limit, self.longest = encode, limit, longest
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(word) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-                self[""] = b""
-            self[word] = ids
-        return ids
+@lru_cache(maxsize=2)
+def encoder(path: str, by_word: bool = True) -> WordEncoder:
+    """This worker's encoder: what it has learnt stays from task to task."""
+    return WordEncoder(path, by_word)
 
 
 class WordEncoder:
     """Encodes texts by the tokenizer in a file, word by word, with the very ids of encoding each whole text.
 
-    For tokenizers that drop white space before they split (by_word): no token, normal form or added token of such a
-    tokenizer spans a space or a line feed, so the ids of a text are those of the pieces between these, in order. All
-    other characters, white space among them, are left to the library. For any other tokenizer pass by_word=False.
-    At most limit words of at most longest characters are kept, then the store starts anew, so memory is bounded.
+    by_word is for tokenizers like WORD_BPE, which drop white space, put runs of letters, single digits and runs of
+    other signs apart, and lower the case of letters. No token, normal form or added token of these spans a space or a
+    line feed, so the ids of a text are those of the pieces between these, in order. A piece of Latin-1 letters, which
+    no normal form changes, is in lower case one unit of the model, and ASCII signs after it are others. All other pieces, any other white space in them, go to the
+    library as they are. For any other tokenizer pass by_word=False.
+    Some _WORDS words of at most _LONGEST characters are kept, then the store starts anew, so memory is bounded.
     """
 
-    def __init__(self, path: str, by_word: bool = True, limit: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, by_word: bool = True):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        self.vocab_size = tokenizer.get_vocab_size(with_added_tokens=True)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.by_word = by_word
-        self.words = _Words(tokenizer.encode, limit, longest)
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+        self.unit = self.tokenizer.model.tokenize
+        self.words: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _code(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words not in store; those that are not Latin letters and signs go to the library in one call."""
+        found: dict[str, bytes] = {}
+        rest: list[str] = []
+        unit, signs, known, latin = self.unit, self.signs, self.words, _LATIN.fullmatch
+        for word in words:
+            letters = word.rstrip(_SIGNS)
+            if latin(letters) and "<|" not in word:
+                ids = known.get(letters) or array("I", [t.id for t in unit(letters.lower().encode().decode("latin-1").translate(_BYTE_SIGNS))]).tobytes()
+                if tail := word[len(letters) :]:
+                    if tail not in signs:
+                        if len(signs) > _WORDS:
+                            signs.clear()
+                        signs[tail] = self._whole(tail)
+                    ids += signs[tail]
+                found[word] = ids
+            elif word and "<|" not in word:
+                rest.append(word)
+            else:
+                found[word] = self._whole(word)
+        if rest:
+            coded = self.tokenizer.encode(rest, is_pretokenized=True, add_special_tokens=False)
+            counts = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(rest))
+            ids, ends = np.array(coded.ids, dtype="<u4").tobytes(), np.cumsum(counts) * 4
+            found |= {w: ids[end - 4 * n : end] for w, end, n in zip(rest, ends.tolist(), counts.tolist(), strict=True)}
+        return found
+
+    def encode_many(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """Each text's ids, little-endian unsigned 32-bit."""
         if not self.by_word:
-            return np.array(self.words.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+            yield from map(self._whole, texts)
+            return
+        at, words = 0, self.words
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and (not split or size + len(texts[at]) <= _SLICE):
+                split.append(texts[at].replace("\n", " ").split(" "))
+                size += len(texts[at])
+                at += 1
+            new = self._code(set().union(*split).difference(words))
+            words |= new
+            for ws in split:
+                yield b"".join(map(words.__getitem__, ws))
+            if len(words) > _WORDS:
+                words.clear()
+            else:
+                for word in [w for w in new if len(w) > _LONGEST]:
+                    del words[word]
