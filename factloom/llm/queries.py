@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import audio, decontam, licenses, packing, quality, sharding, tokenbin, toxicity, warc
+from factloom.llm import audio, decontam, licenses, minhash, packing, quality, sharding, tokenbin, toxicity, warc
 from factloom.llm.common import read_table
 
 
+def op1_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.op1_minhash_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op2_vector_best_fit(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,6 @@ def op9_weighted_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op9_weighted_lexicon(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op5_factorisation_machine, op6_transaction_assembly, op7_qgram_bands, op8_mph_token_files, op9_weighted_lexicon, op10_sentence_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_components, op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op5_factorisation_machine, op6_transaction_assembly, op7_qgram_bands, op8_mph_token_files, op9_weighted_lexicon, op10_sentence_rules)}
 
 ORACLES: dict[str, str] = {"op10_sentence_rules": licenses.oracle()}
