@@ -1,16 +1,65 @@
-"""The corpus pipeline: stages that filter, dedup, clean and pack the documents table."""
+"""The corpus pipeline: stages that filter, dedup, decontaminate and pack the documents table.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factloom.llm import decontam, minhash, packing, quality, toxicity
+from factloom.llm.common import Run, read_table
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine, learnt from the labels of docs, scores at the threshold or above."""
+    machine = quality.fit(docs, read_table(spark, sf_dir, "labels"), quality.METADATA)
+    return quality.score(docs, machine, quality.METADATA, keep=quality.THRESHOLD)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon, learnt from the labels of docs, scores below the threshold."""
+    lexicon = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon, below=toxicity.THRESHOLD)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate component; rows with a null id stay."""
+    found = minhash.near_duplicates(docs)
+    others = found.where("not kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage, exact or within its edit budget."""
+    return decontam.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences of at most 2048 tokens."""
+    return packing.op2_vector_best_fit(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", good_quality),
+    ("toxicity", not_toxic),
+    ("MinHash near-dedup", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("best-fit packing", packed),
+]
 
+#: Learnt scores, hash minima and token ids have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over documents; what each but the last keeps is written to a table and read again."""
+    tables = Run(spark, "pipeline")
+    docs = read_table(spark, sf_dir, "documents")
+    for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES) - 1:
+            docs = tables.table(f"stage-{n}", docs)
     return docs
