@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from factloom.plans import web
 
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES}
+
+ORACLES: dict[str, str] = {**web.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Captured pages to ordered crawl queues: extract, resolve, classify, dedupe, best link per category."""
+    return web.manifest_queue(spark, sf_dir)
