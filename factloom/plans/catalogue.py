@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.plans import web
+from factloom.plans import texts, web
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES, **texts.QUERIES}
 
-ORACLES: dict[str, str] = {**web.ORACLES}
+ORACLES: dict[str, str] = {**web.ORACLES, **texts.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
