@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.plans import records, texts, web
+from factloom.plans import captures, records, texts, web
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES, **texts.QUERIES, **records.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES, **texts.QUERIES, **records.QUERIES, **captures.QUERIES}
 
-ORACLES: dict[str, str] = {**web.ORACLES, **texts.ORACLES, **records.ORACLES}
+ORACLES: dict[str, str] = {**web.ORACLES, **texts.ORACLES, **records.ORACLES, **captures.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
