@@ -81,9 +81,11 @@ RULES = [
 
 #: Every known sentence holds one of these, so a text without them has none.
 ANCHORS = "licen[sc]e|copyright|permission|warrant|redistribution|free software|rights reserved|unencumbered|gnu general|cc-|cc by|cc0|mpl"
-#: A sentence ends at a stop before white space or the text's end. A line's end ends one too, or else is white space.
+#: A sentence ends at a stop before white space or the text's end. A line's end ends one too, or else
+#: is white space but for an empty line.
 STOP = r"[.!?;:]+(?:[ \t\n\x0B\f\r]+|\z)"
 LINE = r"[\r\n]+"
+BLANK = r"\r?\n[ \t]*\r?\n[ \t\r\n]*"
 
 
 def _known() -> dict[str, str]:
@@ -101,7 +103,7 @@ def _licences() -> dict[str, str]:
 
 def normalise(text: Column, lines_end: bool) -> Column:
     """The sentences of a text (array): lower case, runs of anything but a-z and 0-9 as one space, trimmed."""
-    ended = F.regexp_replace(F.lower(text), f"{LINE}|{STOP}" if lines_end else STOP, "\x01")
+    ended = F.regexp_replace(F.lower(text), f"{LINE}|{STOP}" if lines_end else f"{BLANK}|{STOP}", "\x01")
     parts = F.split(F.regexp_replace(ended, "[^a-z0-9\x01]+", " "), "\x01")
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != "")
 
@@ -148,6 +150,6 @@ def oracle() -> str:
     matched = lambda c: f"list_transform(regexp_extract_all({c}, {quoted(_pattern())}), lambda x: rules[x])"
     return f"""
 WITH lowered AS (SELECT doc_id, lower(coalesce(text, '')) AS t, {table(known)} AS known, {table(licences)} AS rules FROM documents),
-found AS (SELECT doc_id, {sequence(f'{LINE}|{STOP}')} AS sentences, {sequence(STOP)} AS wrapped, rules FROM lowered),
+found AS (SELECT doc_id, {sequence(f'{LINE}|{STOP}')} AS sentences, {sequence(f'{BLANK}|{STOP}')} AS wrapped, rules FROM lowered),
 named AS (SELECT doc_id, sentences, wrapped, list_sort(list_distinct(list_concat({matched('sentences')}, {matched('wrapped')}))) AS l FROM found)
 SELECT doc_id, sentences, wrapped, CAST(len(l) AS INTEGER) AS n_licences, array_to_string(l, ',') AS licences FROM named"""
