@@ -40,6 +40,8 @@ class _Page(HTMLParser):
             if tag == "br":
                 self.out.append("\n")
             return
+        if tag == "dd" and self.within.get("dt"):  # the term was not closed
+            self.handle_endtag("dt")
         self.within[tag] = self.within.get(tag, 0) + 1
         if tag == "script" and named.get("type") == "application/ld+json":
             self.script = ""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -35,7 +36,8 @@ def inflate(content: Column) -> Column:
 def captured(spark: SparkSession, path: str) -> DataFrame:
     """url (the file's path below the folder, as a URL), status 200 and text of all captured files under a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    name = F.regexp_replace("path", r"^.*?/([a-z]+)/([^/]+)/(.*)$", "$1://$2/$3")
+    root = re.sub(r"([^A-Za-z0-9/])", r"\\\1", path.rstrip("/"))
+    name = F.regexp_replace("path", f"^.*?{root}/([a-z]+)/([^/]+)/(.*)$", "$1://$2/$3")
     return files.select(name.alias("url"), F.lit(200).alias("status"), F.try_validate_utf8(inflate(F.col("content")).cast("string")).alias("text"))
 
 
