@@ -201,6 +201,7 @@ def _tries(rows: pd.DataFrame) -> pd.DataFrame:
     """For a block of one bucket: its remaining members with the others whose sketch and size allow a link.
 
     Pairs of one component are left out, and pairs that an earlier band holds too, since that band's bucket has them.
+    A last row, without a member of its own, lists all that the block's tries need, each once.
     """
     band = int(rows["band"].iloc[0])
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), MINIMA)
@@ -213,8 +214,11 @@ def _tries(rows: pd.DataFrame) -> pd.DataFrame:
         may = may[(sketch[may] == sketch[i]).sum(1) >= ALIKE * MINIMA]
         may = may[~(earlier[may] == earlier[i]).any(1)]
         if len(may):
-            out.append((int(rows["block"].iloc[0]), int(ids[i]), np.unique(ids[may])))
-    return pd.DataFrame(out, columns=["block", "a", "partners"])
+            out.append((int(ids[i]), np.unique(ids[may])))
+    if out:
+        out.append((None, np.unique(np.concatenate([[a] for a, _ in out] + [p for _, p in out]))))
+    block = int(rows["block"].iloc[0])
+    return pd.DataFrame([(block, a, p) for a, p in out], columns=["block", "a", "partners"]).astype({"a": "Int64"})
 
 
 def _checks(tries: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
@@ -249,9 +253,8 @@ def full(run: Run, members: DataFrame, parts: DataFrame, signed: DataFrame, sets
     blocks = as_rest.unionByName(as_member).groupBy(F.xxhash64("key", "_i", "_j").alias("block"), "band", "a", "component").agg(F.max("is_rest").alias("rest"), F.max(~F.col("is_rest")).alias("member"))
     rows = blocks.join(signed.select(F.col("doc_id").alias("a"), "n_shingles", "sketch", "bands"), "a")
     tries = run.table("tries", rows.groupBy("block").applyInPandas(_tries, _TRIED))
-    needed = tries.select("block", F.col("a").alias("doc_id")).unionByName(tries.select("block", F.explode("partners").alias("doc_id"))).distinct().join(sets.select("doc_id", "items"), "doc_id")
-    needed = needed.select(F.col("block").alias("of_block"), "doc_id", "items")
-    return tries.groupBy("block").cogroup(needed.groupBy("of_block")).applyInPandas(_checks, "a long, b long")
+    needed = tries.where("a is null").select(F.col("block").alias("of_block"), F.explode("partners").alias("doc_id")).join(sets.select("doc_id", "items"), "doc_id")
+    return tries.where("a is not null").groupBy("block").cogroup(needed.groupBy("of_block")).applyInPandas(_checks, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
