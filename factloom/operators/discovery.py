@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -82,17 +83,17 @@ def searches(bases: DataFrame, base: str = "base_url") -> DataFrame:
     return rows.select(base, F.col("s.path").alias("path"), F.col("s.term").alias("term"), F.concat(F.regexp_replace(base, "/+$", ""), F.col("s.path"), F.lit("?q="), F.replace(F.col("s.term"), F.lit(" "), F.lit("+"))).alias("url"))
 
 
-def navigation(links: DataFrame) -> DataFrame:
+def navigation(links: DataFrame, words: list[str] = NAVIGATION_WORDS) -> DataFrame:
     """Links of a home page that hold a navigation word in label or path, first of each normalised URL."""
     rows = links.withColumn("url", urls.normalise(F.col("url")))
-    rows = rows.where(any_of(F.lower(F.concat_ws(" ", "title", urls.path(F.col("url")))), NAVIGATION_WORDS))
+    rows = rows.where(any_of(F.lower(F.concat_ws(" ", "title", urls.path(F.col("url")))), words))
     first = Window.partitionBy("page_id", "url").orderBy("pos")
     return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n").withColumn("source", F.lit("navigation"))
 
 
-def catalog(candidates: DataFrame, pages: DataFrame, links_of) -> DataFrame:
+def catalog(candidates: DataFrame, pages: DataFrame, links_of: Callable[[DataFrame], DataFrame], words: list[str] = CATALOG_WORDS) -> DataFrame:
     """The second hop: links with a catalog word on the pages of known candidates; parent is the page's URL."""
     reached = pages.join(candidates.select("url").distinct(), "url", "left_semi")
     rows = links_of(reached).where(F.length("title") >= 3)
-    words = any_of(F.lower(F.concat_ws(" ", urls.path(F.col("url")), F.col("title"))), CATALOG_WORDS)
-    return rows.where(words).withColumn("source", F.lit("catalog"))
+    found = any_of(F.lower(F.concat_ws(" ", urls.path(F.col("url")), F.col("title"))), words)
+    return rows.where(found).withColumn("source", F.lit("catalog"))

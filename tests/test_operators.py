@@ -289,3 +289,45 @@ def test_stream_expansion(spark, tmp_path):
     for _ in range(2):
         streams.expand(spark.readStream.schema(schema).json(str(tmp_path / "l")), str(tmp_path / "q"), frontier.enqueue, str(tmp_path / "c")).awaitTermination()
     assert sorted(r["url"] for r in spark.read.parquet(str(tmp_path / "q")).collect()) == ["n", "p"]
+
+
+def test_correction_chain(spark):
+    from factloom.operators import pdf_facts
+
+    schema = "pos int, category string, field string, value string, original_value string, unit string, confidence string, entity struct<type:string,id:string,name:string>, qualifiers map<string,string>"
+    rows = [(0, "Credits", "credits", "6", None, None, "0.9", ("module", "P 1", None), None), (1, "x", "p 3 title", "Algebra", None, None, None, (None, None, None), {"semester": "2"}), (2, "module", "module_name", "WP 1.2", None, None, None, ("module", None, None), {}), (3, "assessment", "examination", "unbenotet", None, None, None, None, None), (4, "course", "a", " ", "original", None, None, ("course", None, "c"), None), (5, "course", "a", "", None, None, None, None, None)]
+    got = {r["pos"]: r for r in pdf_facts.corrected(pdf_facts.prepared(spark.createDataFrame(rows, schema))).collect()}
+    assert set(got) == {0, 1, 2, 3, 4} and got[0]["field"] == "module_credits" and got[0]["entity"]["id"] == "P 1"
+    assert got[1]["category"] == "other" and got[1]["field"] == "program_name" and got[1]["qualifiers"] == {"semester": "2"}
+    assert got[2]["field"] == "module_code" and got[2]["entity"]["id"] == "WP 1.2"
+    assert (got[3]["category"], got[3]["field"]) == ("assessment", "grading_status") and got[4]["value"] == "original" and got[4]["entity"]["name"] == "c"
+
+
+def test_fold_lets_later_facts_match_added_ones(spark):
+    kind = "program string, pos long, type string, id string, name string, field string, value string"
+    web = spark.createDataFrame([("p", 1, "m", "1", None, "f", "a"), ("q", 2, "m", "1", None, "f", "a")], kind)
+    pdf = spark.createDataFrame([("p", 11, "m", "9", None, "f", "b"), ("p", 12, "m", "9", None, "f", "b"), ("p", 13, "m", "1", None, "f", "zz"), ("r", 14, "m", "1", None, "f", "b")], kind)
+    got = {(r["program"], r["pos"]): (r["status"], r["supporting"]) for r in enrichment.fold(web, pdf, "program").collect()}
+    assert got == {("p", 1): ("conflict", [13]), ("q", 2): ("original", []), ("p", 11): ("added_from_pdf", [11, 12]), ("r", 14): ("added_from_pdf", [14])}
+
+
+def test_located_blocks(spark):
+    source = "alpha beta\nalpha beta\n" + " ".join(f"word{i}" for i in range(20)) + " end"
+    df = spark.createDataFrame([("d", source, i, b) for i, b in enumerate(["alpha beta", "alpha beta", " ".join(f"word{i}" for i in range(20)) + " other", "none"])], "doc string, text string, n int, block string")
+    got = {r["n"]: r["start"] for r in layout.located(df, "doc", "text", "block", "n").collect()}
+    assert got == {0: 0, 1: 11, 2: 22, 3: None}
+
+
+def test_whole_pipeline_keeps_failures_apart(spark):
+    from factloom.plans import university
+
+    pages = spark.createDataFrame([(1, "https://u.de/a", "<p>good words</p>"), (2, "https://u.de/b", "<p>bad words</p>"), (3, "https://u.de/c", None)], "page_id long, url string, html string")
+
+    def model(content):
+        if "bad" in content:
+            raise RuntimeError("down")
+        return '{"facts": [{"category": "Fees", "field": "f", "value": "v"}, {"category": "fees", "field": "f", "value": "v"}]}'
+
+    got = university.run(pages, model)
+    assert [(r["page_id"], r["section"], r["copies"]) for r in got["facts"].collect()] == [(1, "fees", 2)]
+    assert sorted(r["status"] for r in got["calls"].collect()) == ["failed", "success"]
