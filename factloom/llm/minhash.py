@@ -197,19 +197,21 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 _TRIED = "block long, a long, partners array<long>"
 
 
-def _tries(rows: pd.DataFrame) -> pd.DataFrame:
+def _block_tries(rows: pa.Table) -> list[tuple[int | None, np.ndarray]]:
     """For a block of one bucket: its remaining members with the others whose sketch and size allow a link.
 
     Pairs of one component are left out, and pairs that an earlier band holds too, since that band's bucket has them.
-    A last row, without a member of its own, lists all that the block's tries need, each once.
+    A last entry, without a member of its own, lists all that the block's tries need, each once.
     """
-    band = int(rows["band"].iloc[0])
-    sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), MINIMA)
-    earlier = np.stack(rows["bands"].to_list())[:, :band]
-    ids, parts, sizes, other = (rows[c].to_numpy() for c in ("a", "component", "n_shingles", "member"))
+    ids, parts, sizes, rest, other = (rows.column(c).to_numpy() for c in ("a", "component", "n_shingles", "rest", "member"))
+    if not rest.any() or len(rows) < 2:
+        return []
+    band = rows.column("band")[0].as_py()
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), MINIMA)
+    earlier = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rows), BANDS)[:, :band]
     members = np.flatnonzero(other)
-    out = []
-    for i in np.flatnonzero(rows["rest"].to_numpy()).tolist():
+    out: list[tuple[int | None, np.ndarray]] = []
+    for i in np.flatnonzero(rest).tolist():
         may = members[(parts[members] != parts[i]) & (100 * np.minimum(sizes[members], sizes[i]) >= SHARE * np.maximum(sizes[members], sizes[i]))]
         may = may[(sketch[may] == sketch[i]).sum(1) >= ALIKE * MINIMA]
         may = may[~(earlier[may] == earlier[i]).any(1)]
@@ -217,8 +219,31 @@ def _tries(rows: pd.DataFrame) -> pd.DataFrame:
             out.append((int(ids[i]), np.unique(ids[may])))
     if out:
         out.append((None, np.unique(np.concatenate([[a] for a, _ in out] + [p for _, p in out]))))
-    block = int(rows["block"].iloc[0])
-    return pd.DataFrame([(block, a, p) for a, p in out], columns=["block", "a", "partners"]).astype({"a": "Int64"})
+    return out
+
+
+def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tries of each block, of rows sorted by block; a block that goes on in the next batch waits for it."""
+    held: pa.Table | None = None
+
+    def done(rows: pa.Table) -> pa.RecordBatch:
+        blocks = rows.column("block").to_numpy()
+        cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+        out = [(int(blocks[a]), *t) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for t in (_block_tries(rows.slice(a, b - a)) if b > a else [])]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int64()))], names=["block", "a", "partners"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        blocks = rows.column("block").to_numpy()
+        first = int(np.argmax(blocks == blocks[-1]))
+        if first:
+            yield done(rows.slice(0, first))
+        held = rows.slice(first)
+    if held is not None:
+        yield done(held)
 
 
 def _checks(tries: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
@@ -252,7 +277,7 @@ def full(run: Run, members: DataFrame, parts: DataFrame, signed: DataFrame, sets
     as_member = mixed.select("*", spread("_columns", 2).alias("_j"), all_("_rows").alias("_i"), F.lit(False).alias("is_rest"))
     blocks = as_rest.unionByName(as_member).groupBy(F.xxhash64("key", "_i", "_j").alias("block"), "band", "a", "component").agg(F.max("is_rest").alias("rest"), F.max(~F.col("is_rest")).alias("member"))
     rows = blocks.join(signed.select(F.col("doc_id").alias("a"), "n_shingles", "sketch", "bands"), "a")
-    tries = run.table("tries", rows.groupBy("block").applyInPandas(_tries, _TRIED))
+    tries = run.table("tries", map_rows(rows.repartition("block").sortWithinPartitions("block"), _tries, _TRIED))
     needed = tries.where("a is null").select(F.col("block").alias("of_block"), F.explode("partners").alias("doc_id")).join(sets.select("doc_id", "items"), "doc_id")
     return tries.where("a is not null").groupBy("block").cogroup(needed.groupBy("of_block")).applyInPandas(_checks, "a long, b long")
 
