@@ -14,11 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+#: Rows and bytes in one batch that a Python worker gets, where the session has Spark's defaults: texts are large rows.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216b")}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the executors once per application, so that Python workers can import it."""
+    """Send this package's source to the executors once per application, so that Python workers can import it, and bound
+    the batches that they get."""
     context = spark.sparkContext
+    for name, (default, bounded) in BATCH_LIMITS.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, bounded)
     if context.applicationId in _SHIPPED:
         return
     top = Path(__file__).resolve().parents[1]
