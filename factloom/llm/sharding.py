@@ -33,13 +33,15 @@ def shard(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[flo
     """One row per row of df: key, the columns of keep, shard, slot (its place in the shard, gapless from 0), grown_shard.
 
     grown: the weights after a planned change of the shard count; grown_shard is the shard under these (null without).
-    Rows with one key share a shard, in slots of their own; null keys count as one key; an empty table gives no rows.
+    Rows with one key share a shard, in slots of their own; null keys count as one key; an empty table gives no rows;
+    columns of keep with the results' names are left out, any other name is free.
     Slots come from per-task counts, so no shard's rows are sorted or gathered in one place.
     """
     run = Run(df.sparkSession, "sharding")
-    columns = [c for c in (key, *keep) if c not in ("shard", "grown_shard")]
-    placed = df.select(*[F.col(f"`{c}`") for c in columns], rendezvous(F.col(f"`{key}`"), weights).alias("shard"), (rendezvous(F.col(f"`{key}`"), grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
-    return global_ranks(run.table("placed", with_task_ranks(placed, "shard")), "shard", "slot")
+    columns = [c for c in dict.fromkeys((key, *keep)) if c not in ("shard", "slot", "grown_shard")]
+    placed = df.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)], rendezvous(F.col(f"`{key}`"), weights).alias("shard"), (rendezvous(F.col(f"`{key}`"), grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
+    ranked = global_ranks(run.table("placed", with_task_ranks(placed, "shard")), "shard", "slot")
+    return ranked.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], "shard", "slot", "grown_shard")
 
 
 def op4_rendezvous_sharding(documents: DataFrame, shards: int = 24) -> DataFrame:

@@ -31,6 +31,12 @@ def test_growth_moves_rows_only_into_the_new_shard_and_weights_hold(spark):
     assert abs(moved - 0.2) < 0.02
 
 
+def test_columns_with_the_operators_own_names(odd, odd_rows):
+    got = sharding.shard(odd.withColumn("slot", F.lit(9)), "doc_id", [1.0, 1.0], keep=["part", "nth", "key", "slot", "a"])
+    assert got.columns == ["doc_id", "part", "nth", "key", "a", "shard", "slot", "grown_shard"]
+    assert got.where("part = 1 and nth = 2 and grown_shard is null").count() == len(odd_rows)
+
+
 def test_empty_table_and_bad_weights(nothing):
     assert sharding.op4_rendezvous_sharding(nothing).count() == 0
     with pytest.raises(ValueError):
