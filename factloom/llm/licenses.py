@@ -120,8 +120,10 @@ def scan(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """keep, then sentences (identifiers by line and stop), wrapped (the same with line ends as spaces) and licences.
 
     licences: the distinct names of all rules that match either sequence from left to right, the longest at each
-    place, sorted. Texts are read whole, in one pass without a shuffle; null and empty texts have none.
+    place, sorted. Texts are read whole, in one pass without a shuffle; null and empty texts have none. Columns of keep
+    with the results' names are left out.
     """
+    keep = [c for c in keep if c not in ("sentences", "wrapped", "licences")]
     maybe = F.when(F.lower(text_of(text)).rlike(ANCHORS), text_of(text)).otherwise(F.lit(""))
     names = F.create_map(*[F.lit(x) for pair in _licences().items() for x in pair])
 

@@ -166,8 +166,10 @@ def _metadata(batch: pa.RecordBatch, names: Sequence[str]) -> list[tuple]:
 
 
 def score(documents: DataFrame, machine: Machine, metadata: Sequence[str] = (), keep: float | None = None) -> DataFrame:
-    """All documents with score added; with keep, only the rows that score as much or more, their columns as they are."""
+    """All documents with score added, in place of a column of that name; with keep, only the rows that score as much or
+    more, their columns as they are."""
     spark, names = documents.sparkSession, list(metadata)
+    documents = documents.drop("score") if keep is None else documents
     ship(spark)
     shared = spark.sparkContext.broadcast(machine)
     columns, text = documents.columns, documents.columns.index("text")

@@ -190,8 +190,10 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Lexicon:
 
 
 def score(documents: DataFrame, lexicon: Lexicon, below: float | None = None) -> DataFrame:
-    """All documents with score added; with below, only the rows that score less, their columns as they are."""
+    """All documents with score added, in place of a column of that name; with below, only the rows that score less, their
+    columns as they are."""
     spark = documents.sparkSession
+    documents = documents.drop("score") if below is None else documents
     ship(spark)
     shared = spark.sparkContext.broadcast(lexicon)
     columns, text = documents.columns, documents.columns.index("text")

@@ -157,6 +157,9 @@ def test_scores_of_odd_rows(labelled, odd, odd_rows, nothing):
         assert empty.count() == 0
     none = labels.limit(0)
     assert quality.op5_factorisation_machine(odd, none).count() == toxicity.op9_weighted_lexicon(odd, none).count() == len(odd_rows)
+    scored = quality.score(odd, quality.Machine(0.0, np.zeros(quality.width(0)), np.zeros((quality.width(0), quality.RANK))))
+    assert scored.columns.count("score") == 1 and toxicity.score(odd, toxicity.Lexicon({})).columns.count("score") == 1
+    assert scored.count() == len(odd_rows) and licenses.scan(odd.withColumn("licences", odd["key"]), "text", ["key", "licences"]).columns == ["key", "sentences", "wrapped", "licences"]
     kept = quality.score(odd, quality.fit(docs, labels, quality.METADATA), quality.METADATA, keep=0.0)
     assert kept.columns == odd.columns and kept.count() == len(odd_rows)
 
