@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from factloom.functions import urls
 from factloom.functions.expr import any_of, first_case, lookup
 
-# Weights of the path patterns, the sources' bonus and precedence, and the search terms.
+# Weights of the path patterns, the sources' bonus and precedence, page types, search terms and word lists.
 POSITIVE = [("programs?", 20), ("courses?", 20), ("degrees?", 25), ("studies|study", 20), ("bachelors?", 40), ("masters?", 40), ("undergraduate", 35), ("postgraduate", 35), ("graduate", 25), ("catalog(?:ue)?", 25), ("curriculum", 25), ("major", 30), ("minor", 25), ("academics?", 15)]
 NEGATIVE = [("news", -100), ("events?", -100), ("blog", -80), ("press", -80), ("alumni", -80), ("careers?", -60), ("jobs?", -60), ("staff", -50), ("people", -50), ("contacts?", -50), ("privacy", -100), ("cookies?", -100), ("login", -100)]
 SOURCE_BONUS = {"catalog": 15, "navigation": 10, "search": 5, "sitemap": 5, "crawler": 0}

@@ -64,7 +64,7 @@ SELECT page_id, pos, url, CAST(list_sum(list_transform(e, lambda x: x.v)) AS INT
 
 
 def links_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT-05, FLT-06, URL-02, SRC-05: the classified links of every page."""
+    """FLT-05, FLT-06, URL-02, SRC-05: the classified links of every page, those of English pages included."""
     return links.discover(pages(spark, sf_dir), bad_parts=links.BAD_PARTS[:2])
 
 
