@@ -192,7 +192,8 @@ def to_arrow(tensors: list[bytes]) -> pa.FixedShapeTensorArray:
 def op3_audio_features(documents: DataFrame) -> DataFrame:
     """The contract's digest of every text: stored as WAV files in a table, read back, analysed, and stored again.
 
-    Null texts are empty, that is one block of spaces; repeated rows and null ids keep their rows.
+    Null texts are empty, that is one block of spaces; repeated rows and null ids keep their rows; an empty table has
+    none. Texts of any length are analysed whole, in chunks.
     """
     run = Run(documents.sparkSession, "audio")
     heard = run.table("features", features(run.table("media", media(documents))))

@@ -258,5 +258,6 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op7_qgram_bands(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All benchmark passages in all documents, as matches() gives them."""
+    """All benchmark passages in all documents, as matches() gives them: repeated documents and items each have their own
+    rows, a null doc_id stays null, and an empty table on either side has no match."""
     return matches(documents, benchmark)

@@ -135,7 +135,8 @@ def scan(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def op10_sentence_rules(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, sentences (identifiers in order), n_licences and licences (joined by commas)."""
+    """Per row, repeated rows and null ids included: doc_id, sentences and wrapped (identifiers in order), n_licences and
+    licences (joined by commas); empty strings and 0 for null and empty texts."""
     found = scan(documents, "text", ["doc_id"])
     return found.select("doc_id", "sentences", "wrapped", F.size("licences").alias("n_licences"), F.concat_ws(",", "licences").alias("licences"))
 

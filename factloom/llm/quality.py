@@ -192,7 +192,8 @@ THRESHOLD = 0.3
 
 
 def op5_factorisation_machine(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """The contract's digest: every document's score; null texts score as empty ones."""
+    """The contract's digest: every document's score. Null texts score as empty ones; repeated rows and rows with a null
+    id keep their rows; an empty table has none; without labels, or with one kind only, all score the same."""
     machine = fit(documents, labels, METADATA, most)
     scored = score(documents.select("doc_id", "text", *METADATA), machine, METADATA)
     return scored.select("doc_id", (id_crc32() % 5 == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -212,6 +212,7 @@ def score(documents: DataFrame, lexicon: Lexicon, below: float | None = None) ->
 
 
 def op9_weighted_lexicon(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """The contract's digest: every document's score; null texts score as empty ones."""
+    """The contract's digest: every document's score. Null texts score as empty ones; repeated rows and rows with a null
+    id keep their rows; an empty table has none; without labels, or with one kind only, all score the same."""
     scored = score(documents.select("doc_id", "text"), fit(documents, labels, most))
     return scored.select("doc_id", (id_crc32() % 3 == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
