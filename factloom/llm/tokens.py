@@ -60,10 +60,14 @@ class WordEncoder:
         rest: list[str] = []
         unit, signs, known, latin = self.unit, self.signs, self.words, _LATIN.fullmatch
         for word in words:
-            letters = word.rstrip(_SIGNS)
-            if latin(letters) and "<|" not in word:
-                ids = known.get(letters) or array("I", [t.id for t in unit(letters.lower().encode().decode("latin-1").translate(_BYTE_SIGNS))]).tobytes()
-                if tail := word[len(letters) :]:
+            plain = word.isascii()
+            letters = word if plain and word.isalpha() else word.rstrip(_SIGNS)
+            if (letters.isalpha() if plain else latin(letters)) and (letters is word or "<|" not in word):
+                ids = known.get(letters)
+                if ids is None:
+                    low = letters.lower()
+                    ids = array("I", [t.id for t in unit(low if plain else low.encode().decode("latin-1").translate(_BYTE_SIGNS))]).tobytes()
+                if letters is not word and (tail := word[len(letters) :]):
                     if tail not in signs:
                         if len(signs) > _WORDS:
                             signs.clear()
