@@ -79,8 +79,9 @@ RULES = [
     ("unlicense", ["unlicense"]),
 ]
 
-#: Every known sentence holds one of these, so a text without them has none.
-ANCHORS = "licen[sc]e|copyright|permission|warrant|redistribution|free software|rights reserved|unencumbered|gnu general|cc-|cc by|cc0|mpl"
+#: Every known sentence holds one of these, so a text without them has none. They meet lower-cased raw texts, where any
+#: run of other signs may stand for a sentence's space.
+ANCHORS = "licen[sc]e|copyright|permission|warrant|redistribution|free software|rights reserved|unencumbered|gnu general|cc by|cc0|mpl".replace(" ", "[^a-z0-9]+")
 #: A sentence ends at a stop before white space or the text's end. A line's end ends one too, or else
 #: is white space but for an empty line.
 STOP = r"[.!?;:]+(?:[ \t\n\x0B\f\r]+|\z)"

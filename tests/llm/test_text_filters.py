@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from factloom.llm import decontam, licenses, quality, toxicity
@@ -114,6 +115,16 @@ def test_licence_sql_agrees(spark, odd):
     assert Counter(want) == Counter(tuple(r[c] for c in cols) for r in licenses.op10_sentence_rules(odd.where("doc_id is not null")).collect())
 
 
+def test_licences_in_wrapped_and_spaced_notices(spark):
+    notices = ["All rights\nreserved.", "All rights  reserved.", "All rights\u00a0reserved.", "x\r\n\r\nAll rights\r\nreserved", "Released under CC\nBY 4.0.", "Released under (CC) BY 4.0.", "Released under CC-BY-SA 4.0.", "Released under CC_BY-NC 4.0.", "Released under\nCC  BY--ND 4.0.", "RELEASED UNDER CC0\n1.0", "All rights. reserved"]
+    documents = pd.DataFrame({"doc_id": range(len(notices)), "text": notices})
+    want = sorted(duckdb.sql(licenses.oracle()).fetchall())
+    cols = ("doc_id", "sentences", "wrapped", "n_licences", "licences")
+    got = sorted(tuple(r[c] for c in cols) for r in licenses.op10_sentence_rules(spark.createDataFrame(documents)).collect())
+    assert got == want
+    assert [r[4] for r in got] == ["proprietary"] * 4 + ["cc-by-4.0"] * 2 + ["cc-by-sa-4.0", "cc-by-nc-4.0", "cc-by-nd-4.0", "cc0-1.0", ""]
+
+
 LABELS = "doc_id long, quality int, toxic int, text string"
 
 
