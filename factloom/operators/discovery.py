@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import urls
 from factloom.functions.expr import any_of, first_case, lookup
+from factloom.operators import links
 
 # Weights of the path patterns, the sources' bonus and precedence, page types, search terms and word lists.
 POSITIVE = [("programs?", 20), ("courses?", 20), ("degrees?", 25), ("studies|study", 20), ("bachelors?", 40), ("masters?", 40), ("undergraduate", 35), ("postgraduate", 35), ("graduate", 25), ("catalog(?:ue)?", 25), ("curriculum", 25), ("major", 30), ("minor", 25), ("academics?", 15)]
@@ -24,6 +25,7 @@ SEARCH_TERMS = ["program", "programme", "degree", "course", "bachelor", "master"
 SEARCH_PATHS = ["/search", "/search/", "/find", "/finder", "/program-search", "/programme-search"]
 NAVIGATION_WORDS = ["study", "studies", "education", "learn", "academic", "academics", "program", "programs", "programme", "programmes", "degree", "degrees", "course", "courses", "curriculum", "admission", "admissions", "apply", "application", "prospective", "future students", "school", "schools", "faculty", "faculties", "department", "departments", "college", "institute", "undergraduate", "graduate", "postgraduate", "master", "masters", "bachelor", "bachelors", "phd", "doctorate", "disciplines", "fields of study", "subject areas", "find your programme", "find your program", "degree finder"]
 CATALOG_WORDS = ["program", "programs", "degree", "degrees", "course", "courses", "catalog", "catalogue", "bachelor", "bachelors", "master", "masters", "undergraduate", "postgraduate", "graduate", "curriculum", "major", "minor"]
+CATALOG_SKIPPED = ["/news", "/events", "/about", "/staff", "/admin", "/admin-services", "/ict", "/library", "/governance", "/benefits", "/pay-and-pensions", "/contact", "/jobs", "/careers"]
 
 
 def evidence(url: Column, source: Column) -> Column:
@@ -92,8 +94,24 @@ def navigation(links: DataFrame, words: list[str] = NAVIGATION_WORDS) -> DataFra
 
 
 def catalog(candidates: DataFrame, pages: DataFrame, links_of: Callable[[DataFrame], DataFrame], words: list[str] = CATALOG_WORDS) -> DataFrame:
-    """The second hop: links with a catalog word on the pages of known candidates; parent is the page's URL."""
+    """Of what links_of takes from the pages of known candidates, the links with a catalog word."""
     reached = pages.join(candidates.select("url").distinct(), "url", "left_semi")
     rows = links_of(reached).where(F.length("title") >= 3)
     found = any_of(F.lower(F.concat_ws(" ", urls.path(F.col("url")), F.col("title"))), words)
     return rows.where(found).withColumn("source", F.lit("catalog"))
+
+
+def second_hop(candidates: DataFrame, pages: DataFrame, words: list[str] = CATALOG_WORDS, skipped: list[str] = CATALOG_SKIPPED) -> DataFrame:
+    """The second hop: page_id, pos, url, title, parent (the candidate's URL) and source of the links with a catalog word
+    on the pages of all candidates but those of skipped sections, whatever host or label the links have.
+
+    candidates: url, source_rank, pos. pages: page_id, url, html. URLs are compared in normal form; of a URL that several
+    candidates link to, the first candidate's first link stands.
+    """
+    known = candidates.where(~any_of(F.lower("url"), skipped)).groupBy(urls.normalise(F.col("url")).alias("parent")).agg(F.min(F.struct("source_rank", "pos")).alias("_place"))
+    reached = pages.select("page_id", urls.normalise(F.col("url")).alias("parent"), "html").join(known, "parent")
+    rows = links.anchors(reached).where((F.col("href") != "") & ~F.col("href").rlike("^(" + "|".join(links.SCHEMES) + ")") & (F.length("text") >= 3))
+    rows = rows.withColumn("url", urls.normalise(urls.resolve(F.col("parent"), F.col("href"))))
+    rows = rows.where(any_of(F.lower(F.concat_ws(" ", urls.path(F.col("url")), F.col("text"))), words))
+    first = rows.groupBy("url").agg(F.min_by(F.struct("page_id", "pos", F.col("text").alias("title"), "parent"), F.struct("_place", "page_id", "pos")).alias("_r"))
+    return first.select("_r.page_id", "_r.pos", "url", "_r.title", "_r.parent", F.lit("catalog").alias("source"))

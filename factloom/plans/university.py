@@ -65,6 +65,20 @@ def catalog_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 catalog_links_sql = f"""WITH {web.LINKS} SELECT page_id, pos, url, title, 'catalog' AS source, CAST(len(list_filter(string_split(regexp_extract(url, {web.PARTS}, 3), '/'), lambda x: x <> '')) AS INTEGER) AS depth FROM links
 WHERE page_id IN (SELECT page_id FROM pages WHERE url IN (SELECT url FROM pages WHERE page_id % 2 = 0)) AND length(title) >= 3 AND regexp_matches(lower(regexp_extract(url, {web.PARTS}, 3) || ' ' || title), '{'|'.join(MADE_WORDS)}')"""
 
-NAMES = ("university_pipeline", "navigation_links", "catalog_links")
+
+def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-06: the second hop from all merged candidates, to links with a catalog word; parent is the candidate."""
+    return discovery.second_hop(web.strategy_merge(spark, sf_dir), web.pages(spark, sf_dir), MADE_WORDS)
+
+
+catalog_pages_sql = f"""WITH merged AS ({web.strategy_merge_sql}),
+known AS (SELECT {web.NORMAL} AS known, source_rank, pos AS place FROM (SELECT *, url AS u FROM merged) WHERE NOT regexp_matches(lower(u), '{'|'.join(discovery.CATALOG_SKIPPED)}') QUALIFY row_number() OVER (PARTITION BY known ORDER BY source_rank, place) = 1),
+norm AS (SELECT {web.NORMAL} AS url, page_id, html FROM (SELECT url AS u, page_id, html FROM pages)),
+{web.ANCHORS.replace('FROM pages)', 'FROM norm)')},
+hops AS (SELECT page_id, pos, base AS parent, text AS title, {web.NORMAL} AS url FROM (SELECT *, url AS u FROM anchors) WHERE href <> '' AND NOT regexp_matches(href, '^({'|'.join(links.SCHEMES)})') AND length(text) >= 3)
+SELECT page_id, pos, url, title, parent, 'catalog' AS source FROM hops JOIN known ON parent = known WHERE regexp_matches(lower({web.PATH} || ' ' || title), {_WORDS})
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_rank, place, page_id, pos) = 1"""
+
+NAMES = ("university_pipeline", "navigation_links", "catalog_links", "catalog_pages")
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {n: globals()[f"{n}_sql"] for n in NAMES if f"{n}_sql" in globals()}

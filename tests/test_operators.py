@@ -69,6 +69,24 @@ def test_merge_prefers_the_first_strategy(spark):
     assert {(r["url"], r["source"], r["pos"]) for r in discovery.merge(df).collect()} == {("a", "sitemap", 4), ("b", "search", 1)}
 
 
+def test_second_hop_reads_the_plain_links_of_all_candidates(spark):
+    tag = lambda href, label: f'<a href="{href}">{label}</a>'
+    pages = [
+        (1, "https://u.de/a/?x=1", tag("/master/x?y#z", "Apply") + tag("https://facebook.com/programs", "Facebook") + tag("/course", "go") + tag("mailto:a@u.de", "a course") + tag("/plain", "plain")),
+        (2, "https://u.de/b", tag("/degree/", "privacy") + tag("/master/x", "again")),
+        (3, "https://u.de/library/c", tag("/minor", "from a skipped section")),
+        (4, "https://u.de/unknown", tag("/major", "no candidate")),
+    ]
+    known = spark.createDataFrame([("https://u.de/b", 20, 1), ("https://u.de/a", 10, 9), ("https://u.de/library/c", 10, 1)], "url string, source_rank int, pos long")
+    got = discovery.second_hop(known, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {(r["url"], r["title"], r["parent"], r["source"]) for r in got} == {
+        ("https://u.de/master/x", "Apply", "https://u.de/a", "catalog"),
+        ("https://facebook.com/programs", "Facebook", "https://u.de/a", "catalog"),
+        ("https://u.de/degree", "privacy", "https://u.de/b", "catalog"),
+    }
+    assert len(got) == 3
+
+
 def test_frontier(spark):
     queue = spark.createDataFrame([("p", 1, True, "completed"), ("q", 2, True, "completed"), ("r", 1, False, "completed")], "url string, depth int, expand boolean, status string")
     found = spark.createDataFrame([("p", "n", True, "evidence", 9, "x", 2), ("p", "n", True, "evidence", 5, "x", 1), ("p", "q", True, "evidence", 9, "x", 3), ("p", "o", False, "evidence", 9, "x", 4), ("q", "m", True, "evidence", 9, "x", 5), ("r", "l", True, "evidence", 9, "x", 6)], "parent_url string, url string, internal boolean, purpose string, priority int, category string, pos int")
