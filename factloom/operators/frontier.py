@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.functions import urls
+from factloom.operators import links as page_links
+
 
 def alive(candidates: DataFrame, working: DataFrame, key: str = "url") -> DataFrame:
     """Candidates whose key is in working: a semi-join, whatever repeats working has."""
@@ -40,23 +44,52 @@ def status_counts(queue: DataFrame, partition: str) -> DataFrame:
     return queue.groupBy(partition).agg(*[F.count_if(F.col("status") == s).alias(s) for s in states])
 
 
-def expand(seeds: DataFrame, edges: DataFrame, max_depth: int, cut: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+def expand(seeds: DataFrame, edges: DataFrame, max_depth: int | None, cut: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """node and depth of all nodes within max_depth steps of the seeds (node), along edges (src, dst).
 
     Level by level: each level's nodes are those that the edges reach and that no earlier level holds. The number of
-    levels, not of nodes, bounds the driver's loop; cut(df, name) may write a level to a table to shorten lineage.
+    levels, not of nodes, bounds the driver's loop; cut(df, name) may write a level to a table to shorten lineage. Without
+    max_depth the loop ends with the first empty level, and each level is looked at once; pass cut then.
     """
     found = seeds.select("node").distinct().withColumn("depth", F.lit(0))
     level = found
-    for step in range(1, max_depth + 1):
+    for step in count(1) if max_depth is None else range(1, max_depth + 1):
         reached = edges.join(level.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
         level = reached.join(found.select("node"), "node", "left_anti").withColumn("depth", F.lit(step))
         if cut:
             level = cut(level, f"level-{step}")
+        if max_depth is None and level.isEmpty():
+            break
         found = found.unionByName(level)
     return found
 
 
+def site_of(url: Column) -> Column:
+    """The host without a leading www."""
+    return F.regexp_replace(urls.host(url), r"^www\.", "")
+
+
+def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int | None = None, cut: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """site, url, page_id, pos, text, programme and follow of all links that crawls of the sites come upon.
+
+    seeds: site, url in normal form. pages: page_id, url, html. A crawl reads the pages that links lead to from its
+    seeds, as long as their hosts are the site or below it and their paths hold no skip word; no page is left out for
+    number or order. Of a URL's links the first by page and place stands.
+    """
+    found = page_links.anchors(pages.select("page_id", urls.normalise(F.col("url")).alias("base"), "html"))
+    found = found.withColumn("url", urls.normalise(urls.resolve(F.col("base"), F.col("href")))).where(~urls.skipped(F.col("url")))
+    labels = F.split(urls.host(F.col("url")), r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    found = found.select("page_id", "pos", "base", "url", "text", F.explode(above).alias("site")).join(seeds.select("site").distinct(), "site")
+    if cut:
+        found = cut(found, "links")
+    node = lambda url: F.struct("site", F.col(url).alias("url"))
+    read = expand(seeds.select(node("url").alias("node")), found.select(node("base").alias("src"), node("url").alias("dst")).distinct(), max_depth, cut)
+    seen = found.join(read.select("node.site", F.col("node.url").alias("base")), ["site", "base"], "left_semi")
+    first = seen.groupBy("site", "url").agg(F.min_by(F.struct("page_id", "pos", "text"), F.struct("page_id", "pos")).alias("_r")).select("site", "url", "_r.*")
+    return first.withColumn("programme", urls.looks_like_programme(F.col("url"), F.col("text"))).withColumn("follow", urls.worth_following(F.col("url"), F.col("text")))
+
+
 def reach_sql(edges: str, seeds: str, max_depth: int) -> str:
     """Bounded reachability as a recursive query; for small graphs, since it keeps every path up to the bound."""
     return f"""WITH RECURSIVE walk(node, depth) AS (

@@ -251,6 +251,29 @@ w(node, depth) AS (SELECT 0, 0 UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON
 SELECT CAST(node AS INTEGER) AS node, CAST(min(depth) AS INTEGER) AS depth FROM w GROUP BY node"""
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-08, FLT-03, FLT-04, FLT-13: the links that crawls of all sites come upon; each site's pages are its seeds."""
+    p = pages(spark, sf_dir)
+    seeds = p.select(frontier.site_of(F.col("url")).alias("site"), urls.normalise(F.col("url")).alias("url")).distinct()
+    return frontier.crawl(seeds, p, cut=_kept)
+
+
+crawl_pages_sql = f"""
+WITH RECURSIVE norm AS (SELECT {NORMAL} AS url, page_id, html FROM (SELECT url AS u, page_id, html FROM pages)),
+{ANCHORS.replace('FROM pages)', 'FROM norm)')},
+starts AS (SELECT DISTINCT regexp_replace({HOST}, '^www\\.', '') AS site, url FROM norm),
+hops AS (SELECT page_id, pos, base, text, url, {HOST} AS h, lower({PATH}) AS p FROM (SELECT page_id, pos, base, text, {NORMAL} AS url FROM (SELECT *, url AS u FROM anchors))),
+sited AS (SELECT s.site, hops.* FROM hops JOIN (SELECT DISTINCT site FROM starts) s ON h = s.site OR ends_with(h, '.' || s.site) WHERE NOT regexp_matches(p, {_q(urls.SKIP_WORDS)})),
+w(site, url) AS (SELECT site, url FROM starts UNION SELECT sited.site, sited.url FROM sited JOIN w ON sited.site = w.site AND sited.base = w.url)
+SELECT s.site, s.url, page_id, pos, text, regexp_matches(p || ' ' || trim(lower(text)), {_q(urls.PROGRAMME_WORDS)}) AND NOT ({' OR '.join(f"ends_with(p, '{e}')" for e in urls.HUB_ENDINGS)}) AND len(list_filter(string_split(p, '/'), lambda x: x <> '')) >= 2 AS programme,
+ regexp_matches(lower(s.url || ' ' || text), {_q(urls.FOLLOW_WORDS)}) AS follow
+FROM sited s JOIN w ON s.site = w.site AND s.base = w.url QUALIFY row_number() OVER (PARTITION BY s.site, s.url ORDER BY page_id, pos) = 1"""
+
+
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NST-07 (regex part), STR-04: the visible text of every page, without scripts, styles and other dropped elements."""
     dropped = r"(?is)<(script|style|noscript|svg|iframe|nav|footer)\b.*?</(?:script|style|noscript|svg|iframe|nav|footer)\s*>|<!--.*?-->"
@@ -260,6 +283,6 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 html_text_sql = f"""WITH t AS (SELECT page_id, {_PLAIN("regexp_replace(html, '(?is)<(script|style|noscript|svg|iframe|nav|footer)\\b.*?</(?:script|style|noscript|svg|iframe|nav|footer)\\s*>|<!--.*?-->', ' ', 'g')")} AS text FROM pages) SELECT page_id, text, length(text) AS characters FROM t"""
 
-NAMES = ("url_parts", "url_score", "links_discover", "links_summary", "links_top", "manifest_queue", "strategy_merge", "strategy_statistics", "site_search", "page_metadata", "page_reevaluation", "programme_predicates", "frontier_enqueue", "liveness_semi", "bfs_reach", "html_text")
+NAMES = ("url_parts", "url_score", "links_discover", "links_summary", "links_top", "manifest_queue", "strategy_merge", "strategy_statistics", "site_search", "page_metadata", "page_reevaluation", "programme_predicates", "frontier_enqueue", "liveness_semi", "bfs_reach", "crawl_pages", "html_text")
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {n: globals()[f"{n}_sql"] for n in NAMES}

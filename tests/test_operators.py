@@ -98,6 +98,23 @@ def test_frontier(spark):
     assert level == {tuple(r) for r in spark.sql(frontier.reach_sql("test_edges", "test_seeds", 5)).collect()} == {(0, 0), (1, 1), (2, 2), (3, 3)}
 
 
+def test_crawl_follows_page_links_within_the_site(spark):
+    tag = lambda *hrefs: "".join(f'<a href="{h}">go</a>' for h in hrefs)
+    pages = [
+        (1, "https://www.u.de/", tag("/a?x=1", "https://x.org/master/1", "/news/master")),
+        (2, "https://www.u.de/a/", tag("https://m.u.de/b", "/", "/study/master")),
+        (3, "https://m.u.de/b", tag("/c#top", "https://notu.de/degree/1")),
+        (4, "https://m.u.de/c", tag("/degree/9", "/programs")),
+        (5, "https://www.u.de/news/master", tag("/behind/skipped")),
+        (6, "https://www.u.de/island", tag("/island/degree")),
+        (7, "https://x.org/master/1", tag("https://www.u.de/elsewhere", "/x")),
+    ]
+    seeds = spark.createDataFrame([("u.de", "https://www.u.de")], "site string, url string")
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["url"]: r["programme"] for r in frontier.crawl(seeds, df, cut=lambda d, name: d.localCheckpoint()).collect()}
+    assert got == {"https://www.u.de/a": False, "https://m.u.de/b": False, "https://www.u.de": False, "https://www.u.de/study/master": True, "https://m.u.de/c": False, "https://m.u.de/degree/9": True, "https://m.u.de/programs": False}
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text("ab", max_size=12), max_size=12), st.integers(4, 20))
 def test_packing_folds(spark, pieces, most):
