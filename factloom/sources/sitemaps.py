@@ -16,7 +16,7 @@ from factloom.functions.expr import any_of, strip
 # Well-known places and the parts of URLs that are passed over.
 WELL_KNOWN = ["/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml", "/sitemap/sitemap.xml"]
 #: A parameter of pages(): parts of page URLs that are no candidates.
-SKIPPED = ["/news", "/events", "/blog", "/jobs", "/press", "/media", "/alumni", "/calendar"]
+SKIPPED = ["/news", "/events", "/event", "/blog", "/press", "/media", "/library", "/contact", "/privacy", "/terms", "/login", "/jobs", "/careers", "/staff", "/about", "/alumni", "/giving", "/donate"]
 
 
 def _inflated(content: bytes | None) -> bytes | None:

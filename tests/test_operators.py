@@ -264,6 +264,13 @@ def test_html_and_markdown(spark):
     assert list(html.page_chunks("")) == []
 
 
+def test_sitemap_pages_skip_the_eighteen_parts(spark):
+    parts = ["news", "events", "event", "blog", "press", "media", "library", "contact", "privacy", "terms", "login", "jobs", "careers", "staff", "about", "alumni", "giving", "donate"]
+    listed = "".join(f"<url><loc>https://u.de/{p}/1</loc></url>" for p in [*parts, "calendar", "master"])
+    files = spark.createDataFrame([("https://u.de/robots.txt", 200, ""), ("https://u.de/sitemap.xml", 200, f"<urlset>{listed}</urlset>")], "url string, status int, text string")
+    assert {r["url"] for r in sitemaps.pages(files).collect()} == {"https://u.de/calendar/1", "https://u.de/master/1"}
+
+
 def test_sitemaps(spark, tmp_path):
     host = tmp_path / "https" / "u.de"
     host.mkdir(parents=True)
