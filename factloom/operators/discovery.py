@@ -85,6 +85,22 @@ def searches(bases: DataFrame, base: str = "base_url") -> DataFrame:
     return rows.select(base, F.col("s.path").alias("path"), F.col("s.term").alias("term"), F.concat(F.regexp_replace(base, "/+$", ""), F.col("s.path"), F.lit("?q="), F.replace(F.col("s.term"), F.lit(" "), F.lit("+"))).alias("url"))
 
 
+def search_results(requests: DataFrame, answers: DataFrame, base: str = "base_url") -> DataFrame:
+    """The candidates of site search: base, url, query (the term) and source of every distinct link on result pages.
+
+    requests: as searches() gives them. answers: url, result (HTML) and status, as services.fetched gives them. The first
+    request in the lists' order that shows a URL stands for it; links without a host, such as mailto, are none.
+    """
+    place = F.struct(F.array_position(F.array(*map(F.lit, SEARCH_PATHS)), F.col("path")).alias("p"), F.array_position(F.array(*map(F.lit, SEARCH_TERMS)), F.col("term")).alias("t"))
+    shown = requests.withColumn("_place", place).join(answers.where("status = 'success'").select("url", "result"), "url")
+    rows = links.anchors(shown.select(base, "term", "_place", F.col("url").alias("_from"), "result"), "result").where("href != ''")
+    rooted = F.col("href").startswith("/") & ~F.col("href").startswith("//")
+    full = F.when(rooted, F.concat(F.regexp_replace(base, "/+$", ""), F.col("href"))).otherwise(urls.resolve(F.col("_from"), F.col("href")))
+    rows = rows.withColumn("url", urls.normalise(full)).where(urls.host(F.col("url")) != "")
+    first = rows.groupBy(base, "url").agg(F.min_by("term", F.struct("_place", "pos")).alias("query"))
+    return first.withColumn("source", F.lit("search"))
+
+
 def navigation(links: DataFrame, words: list[str] = NAVIGATION_WORDS) -> DataFrame:
     """Links of a home page that hold a navigation word in label or path, first of each normalised URL."""
     rows = links.withColumn("url", urls.normalise(F.col("url")))

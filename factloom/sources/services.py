@@ -42,7 +42,7 @@ def call(rows: DataFrame, key: str, inputs: list[str], service: Callable[..., st
                 out.append((k, result, "failed" if error else "success", n, time.monotonic() - began, error))
             yield pd.DataFrame(out, columns=[key, "result", "status", "attempts", "seconds", "error"])
 
-    return rows.select(key, *inputs).mapInPandas(run, f"`{key}` {kind}, result string, status string, attempts int, seconds double, error string")
+    return rows.select(*dict.fromkeys([key, *inputs])).mapInPandas(run, f"`{key}` {kind}, result string, status string, attempts int, seconds double, error string")
 
 
 def fetched(urls: DataFrame, fetch: Callable[[str], str], done: DataFrame | None = None) -> DataFrame:

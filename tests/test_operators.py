@@ -69,6 +69,13 @@ def test_merge_prefers_the_first_strategy(spark):
     assert {(r["url"], r["source"], r["pos"]) for r in discovery.merge(df).collect()} == {("a", "sitemap", 4), ("b", "search", 1)}
 
 
+def test_search_results_become_candidates(spark):
+    answers = {"https://u.de/search?q=degree": '<a href="/p/1?x">a</a><a href="https://x.org/news/">b</a><a href="mailto:a@u.de">c</a><a href="">d</a>', "https://u.de/search?q=program": '<a href="/p/1#y">a</a>', "https://u.de/find?q=study+programs": '<a href="/p/2">a</a><a href="/p/1">a</a>'}
+    requests = discovery.searches(spark.createDataFrame([("https://u.de/",)], "base_url string"))
+    got = discovery.search_results(requests, services.fetched(requests, lambda url: answers.get(url, ""))).collect()
+    assert sorted((r["url"], r["query"], r["source"]) for r in got) == [("https://u.de/p/1", "program", "search"), ("https://u.de/p/2", "study programs", "search"), ("https://x.org/news", "degree", "search")]
+
+
 def test_second_hop_reads_the_plain_links_of_all_candidates(spark):
     tag = lambda href, label: f'<a href="{href}">{label}</a>'
     pages = [
