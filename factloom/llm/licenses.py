@@ -35,8 +35,13 @@ SENTENCES = {
     "bsd-source": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
     "bsd-binary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
     "bsd-name": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
+    "bsd-as-is": ["this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"],
+    "bsd-no-liability": ["in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services"],
+    "bsd-damage": ["or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"],
     "bsd-line": ["released under the bsd license", "licensed under the bsd 3 clause license", "released under the bsd 3 clause license"],
     "isc-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "isc-as-is": ["the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"],
+    "isc-no-liability": ["in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"],
     "cc-by-line": ["licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license", "released under cc by 4 0"],
     "cc-by-sa-line": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license", "released under cc by sa 4 0"],
     "cc-by-nc-line": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license", "released under cc by nc 4 0"],
@@ -52,7 +57,9 @@ RULES = [
     ("apache-2.0", ["apache-line", "apache-comply", "apache-copy"]),
     ("apache-2.0", ["apache-line"]),
     ("agpl-3.0", ["agpl-line"]),
+    ("bsd-3-clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-as-is", "bsd-no-liability", "bsd-damage"]),
     ("bsd-3-clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]),
+    ("bsd-2-clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "bsd-no-liability", "bsd-damage"]),
     ("bsd-2-clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("bsd", ["bsd-line"]),
     ("cc-by-4.0", ["cc-by-line"]),
@@ -66,7 +73,7 @@ RULES = [
     ("gpl-3.0", ["gpl3-line"]),
     ("gpl-3.0-or-later", ["gpl3-free", "gpl-hope", "gpl-details", "gpl-copy"]),
     ("gpl-3.0-or-later", ["gpl3-free"]),
-    ("isc", ["isc-grant", "as-is"]),
+    ("isc", ["isc-grant", "isc-as-is", "isc-no-liability"]),
     ("isc", ["isc-grant"]),
     ("lgpl-3.0", ["lgpl-line"]),
     ("mit", ["mit-line", "mit-grant", "mit-notice", "as-is", "no-liability"]),
@@ -81,7 +88,7 @@ RULES = [
 
 #: Every known sentence holds one of these, so a text without them has none. They meet lower-cased raw texts, where any
 #: run of other signs may stand for a sentence's space.
-ANCHORS = "licen[sc]e|copyright|permission|warrant|redistribution|free software|rights reserved|unencumbered|gnu general|cc by|cc0|mpl".replace(" ", "[^a-z0-9]+")
+ANCHORS = "licen[sc]e|in no event shall|theory of liability|copyright|permission|warrant|redistribution|free software|rights reserved|unencumbered|gnu general|cc by|cc0|mpl".replace(" ", "[^a-z0-9]+")
 #: A sentence ends at a stop before white space or the text's end. A line's end ends one too, or else
 #: is white space but for an empty line.
 STOP = r"[.!?;:]+(?:[ \t\n\x0B\f\r]+|\z)"
