@@ -37,9 +37,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where that is unset, a local session gets a
+    temporary one, as in tests; on a cluster no folder of the driver's would do, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -48,23 +51,31 @@ def shared_dir(spark: SparkSession) -> str:
 class Run:
     """Names and writes the tables of one run of an operator, under one folder of its own in the shared folder.
 
-    A written table cuts the lineage: what follows reads files that survive the loss of any executor. The tables stay
-    after the run, since its result reads them lazily; drop() removes them.
+    A written table cuts the lineage: what follows reads files that survive the loss of any executor. Operators drop the
+    tables that their result does not read; those that it reads lazily stay until drop(). opened lists the runs not
+    dropped yet, so that a caller which has stored a result can drop all that its operators left.
     """
 
+    opened: list[Run] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         ship(spark)
+        Run.opened.append(self)
 
     def table(self, name: str, df: DataFrame, codec: str = "zstd", **options: object) -> DataFrame:
         df.write.mode("overwrite").option("compression", codec).options(**options).parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
-    def drop(self) -> None:
+    def drop(self, *names: str) -> None:
+        """Removes the tables of these names; without names, the run's folder."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for place in [f"{self.path}/{n}" for n in names] or [self.path]:
+            path = jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if not names and self in Run.opened:
+            Run.opened.remove(self)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

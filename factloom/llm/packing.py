@@ -17,7 +17,7 @@ from factloom.llm.tokens import encoder, tokenizer_path
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
-def pieces(documents: DataFrame, tokenizer: str, end_id: int, most: int, by_word: bool = True) -> DataFrame:
+def pieces(documents: DataFrame, tokenizer: str, end_id: int, most: int, by_word: bool | None = None) -> DataFrame:
     """The documents' ids, each followed by end_id, cut into pieces of most ids where longer; the last may be shorter.
 
     part and nth (earlier pieces of this task of the same length) are for common.global_ranks, once written.

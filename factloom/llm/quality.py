@@ -135,27 +135,32 @@ class Machine:
         return cls(bias, weights, factors)
 
 
-def sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, keep: Sequence[int], most: int) -> DataFrame:
-    """doc_id, label and the documents' columns of at most most labelled rows with crc32(id) mod modulus in keep.
+def sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, keep: Sequence[int], most: int, columns: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text, _label and the named columns (as _m0, _m1, ...) of at most most labelled documents with
+    crc32(id) mod modulus in keep, one row for each id.
 
     The sample is the labelled ids with the smallest hashes, so it is the same however the tables are split. These
-    few rows go to the documents' tasks; texts are not shuffled. Of an id's differing labels the least counts.
+    few rows go to the documents' tasks. Of an id's differing labels the least counts, of its rows the one whose text
+    has the least hash; an id's rows are reduced to one where they are read, so repeated ids stay bounded too.
     """
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where((id_crc32() % modulus).isin(list(keep)))
     chosen = chosen.groupBy("doc_id").agg(F.min(label).cast("int").alias("_label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return documents.join(F.broadcast(chosen), "doc_id")
+    names = [f"_m{i}" for i in range(len(columns))]
+    rows = documents.select(F.col("doc_id").alias("doc_id"), text_of().alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)])
+    one = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("_hash"), "text", *names, "_label")).alias("row"))
+    return one.select(F.col("doc_id").cast("long").alias("doc_id"), "row.text", "row._label", *[f"row.{n}" for n in names])
 
 
 def fit(documents: DataFrame, labels: DataFrame, metadata: Sequence[str] = (), most: int = SAMPLE) -> Machine:
     """A machine for labels.quality, learnt from at most most rows whose crc32(doc_id as text) mod 5 is not 0."""
-    names = list(metadata)
+    names = [f"_m{i}" for i in range(len(metadata))]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(t, m) for t, m in zip(batch.column(1).to_pylist(), _metadata(batch, names), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([i.astype(np.int32) for i, _ in rows], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in rows], pa.list_(pa.float32()))], names=["doc_id", "label", "i", "v"])
 
-    chosen = sample(documents, labels, "quality", 5, (1, 2, 3, 4), most).select(F.col("doc_id").cast("long"), text_of().alias("text"), "_label", *names)
+    chosen = sample(documents, labels, "quality", 5, (1, 2, 3, 4), most, metadata)
     got = map_rows(chosen, gather, "doc_id long, label int, i array<int>, v array<float>").toArrow().sort_by("doc_id")
     rows = [(i.values.to_numpy().astype(np.int64), v.values.to_numpy().astype(np.float64)) for i, v in zip(got.column("i"), got.column("v"), strict=True)]
     return Machine.fit(rows, got.column("label").to_numpy().astype(float), width(len(names)))

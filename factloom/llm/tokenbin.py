@@ -82,7 +82,7 @@ def _segment(part: int, number: int, keys: list[int | None], ids: list[bytes], w
 _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("docs", pa.int32()), ("tokens", pa.int64()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("index", pa.binary()), ("payload", pa.binary())])
 
 
-def write(documents: DataFrame, key: str, text: str, tokenizer: str, end_id: int, run: Run, by_word: bool = True) -> DataFrame:
+def write(documents: DataFrame, key: str, text: str, tokenizer: str, end_id: int, run: Run, by_word: bool | None = None) -> DataFrame:
     """Writes the ids of all texts, in ascending order of the integer key, as a table of segments, and returns it.
 
     A segment holds whole documents, up to SEGMENT_TOKENS ids (one longer document fills one alone), as a raw payload

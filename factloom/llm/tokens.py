@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
-_WORDS, _LONGEST, _SLICE = 600_000, 10, 1 << 21
+_WORDS, _LONGEST, _SLICE = 250_000, 10, 1 << 21
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Byte-level vocabularies write the bytes that are not printable Latin-1 signs as the signs from U+0100 on.
 _UNPRINTABLE = [*range(33), *range(127, 161), 173]
@@ -25,9 +25,10 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, by_word: bool = True) -> WordEncoder:
-    """This worker's encoder: what it has learnt stays from task to task."""
-    return WordEncoder(path, by_word)
+def encoder(path: str, by_word: bool | None = None) -> WordEncoder:
+    """This worker's encoder: what it has learnt stays from task to task. Word by word only for the file that is known to
+    allow it, unless by_word says otherwise."""
+    return WordEncoder(path, path.rpartition("/")[2] == WORD_BPE if by_word is None else by_word)
 
 
 class WordEncoder:
