@@ -20,7 +20,11 @@ RATE, UP, DOWN = 12_000, 2, 3
 HEARD = RATE * UP // DOWN
 FRAME, HOP, BANDS = 512, 256, 24
 TENSOR = (32, BANDS)
+#: Samples that are resampled at once, and frames that are transformed at once; neither changes a result.
 CHUNK = BLOCK * 4096
+FRAMES = 2048
+#: Samples around a chunk that the resampler's taps reach, and more: a multiple of DOWN.
+REACH = 16 * DOWN
 ROWS_OUT = 256
 
 
@@ -119,30 +123,48 @@ def segments(level: np.ndarray, rise: float = 0.5, fall: float = -0.5) -> list[t
     return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True))
 
 
+def _heard(samples: bytes) -> Iterator[np.ndarray]:
+    """The resampled signal in pieces: each chunk is resampled with its neighbours' samples around it, as the whole is."""
+    for a in range(0, len(samples), CHUNK):
+        b = min(len(samples), a + CHUNK)
+        low, high = max(0, a - REACH), min(len(samples), b + REACH)
+        x = (np.frombuffer(samples, np.uint8, high - low, low).astype(np.float32) - 128) / 128
+        yield resample(x)[(a - low) * UP // DOWN : (b - low) * UP // DOWN]
+
+
+def _frames(samples: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """log_mel() of the whole signal, FRAMES frames at a time; what a piece's last frames lack waits for the next piece."""
+    held, done, need = np.empty(0, np.float32), 0, (FRAMES - 1) * HOP + FRAME
+    for piece in _heard(samples):
+        held = np.concatenate([held, piece])
+        while len(held) >= need:
+            yield log_mel(held[:need])
+            held, done = held[FRAMES * HOP :], done + FRAMES
+    if not done or len(held) > FRAME - HOP:
+        yield log_mel(held)
+
+
 def analyse(samples: bytes) -> tuple[np.ndarray, list[tuple[float, float]], list[tuple[float, float]]]:
     """(tensors of shape (n, *TENSOR), their time spans, the energy segments' time spans), seconds from the start.
 
-    Chunks of CHUNK samples are analysed one by one, each as if silence lay around it, so memory is bounded for any
-    length; the last tensor of a chunk is filled with -128.
+    The signal is analysed as one, whatever its length: resampler, frames, median level and segments know no seams. Only
+    CHUNK samples and FRAMES frames are worked on at once; what stays is the result and a level for each frame. The last
+    tensor is filled up with -128.
     """
-    tensors, spans, parts = [], [], []
-    for start in range(0, len(samples), CHUNK):
-        x = (np.frombuffer(samples, np.uint8, min(CHUNK, len(samples) - start), start).astype(np.float32) - 128) / 128
-        bands, level = log_mel(resample(x))
-        began, step = start / RATE, HOP / HEARD
-        full = np.full((-(-len(bands) // TENSOR[0]) * TENSOR[0], BANDS), -128, np.int8)
-        full[: len(bands)] = bands
-        tensors.append(full.reshape(-1, *TENSOR))
-        until = began + len(x) / RATE
-        spans += [(began + i * TENSOR[0] * step, min(until, began + (i + 1) * TENSOR[0] * step)) for i in range(len(tensors[-1]))]
-        parts += [(began + a * step, min(until, began + b * step)) for a, b in segments(level)]
-    return np.concatenate(tensors), spans, parts
+    parts = list(_frames(samples))
+    bands, level = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    step, until = HOP / HEARD, len(samples) / RATE
+    full = np.full((-(-len(bands) // TENSOR[0]) * TENSOR[0], BANDS), -128, np.int8)
+    full[: len(bands)] = bands
+    tensors = full.reshape(-1, *TENSOR)
+    spans = [(i * TENSOR[0] * step, min(until, (i + 1) * TENSOR[0] * step)) for i in range(len(tensors))]
+    return tensors, spans, [(a * step, min(until, b * step)) for a, b in segments(level)]
 
 
 SPAN = pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())])
 _MEDIA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
-_FEATURES = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("tensors", pa.list_(pa.binary())), ("spans", pa.list_(SPAN)), ("segments", pa.list_(SPAN)), ("feature", pa.string())])
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, tensors array<binary>, spans array<struct<start_s: double, end_s: double>>, segments array<struct<start_s: double, end_s: double>>, feature string"
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("tensors", pa.binary()), ("segments", pa.list_(SPAN)), ("feature", pa.string())])
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, tensors binary, segments array<struct<start_s: double, end_s: double>>, feature string"
 
 
 def media(documents: DataFrame) -> DataFrame:
@@ -161,8 +183,9 @@ def media(documents: DataFrame) -> DataFrame:
 def features(stored: DataFrame) -> DataFrame:
     """Reads media() rows back: digests of payload and file, log-mel tensors with time spans, segments, and a summary.
 
-    A tensor is TENSOR[0] frames of BANDS whole decibels, as signed bytes in row order; to_arrow() makes Arrow's
-    fixed-shape tensors of them. feature names the frames, the segments, each band's mean level and a checksum.
+    tensors is a stream in Arrow's own format, with a column tensor of Arrow's fixed-shape tensor type (TENSOR[0] frames
+    of BANDS whole decibels, int8) and the columns start_s and end_s; to_arrow() opens it. feature names the tensors, the
+    segments, each band's mean level and a checksum of the tensors.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,9 +197,8 @@ def features(stored: DataFrame) -> DataFrame:
                     tensors, spans, parts = analyse(payload)
                     levels = tensors.reshape(-1, BANDS)
                     used = levels[levels[:, 0] > -128] if (levels[:, 0] > -128).any() else levels
-                    raw = [t.tobytes() for t in tensors]
-                    feature = f"tensors={len(raw)};segments={len(parts)};mel={','.join(str(int(m)) for m in used.sum(0, dtype=np.int64) // len(used))};crc={zlib.crc32(b''.join(raw)):08x}"
-                    values = (doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(file), hashlib.sha256(file).hexdigest(), raw, [{"start_s": a, "end_s": b} for a, b in spans], [{"start_s": a, "end_s": b} for a, b in parts], feature)
+                    feature = f"tensors={len(tensors)};segments={len(parts)};mel={','.join(str(int(m)) for m in used.sum(0, dtype=np.int64) // len(used))};crc={zlib.crc32(tensors.tobytes()):08x}"
+                    values = (doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(file), hashlib.sha256(file).hexdigest(), _stream(tensors, spans), [{"start_s": a, "end_s": b} for a, b in parts], feature)
                     for name, value in zip(rows, values, strict=True):
                         rows[name].append(value)
                 yield pa.RecordBatch.from_pydict(rows, schema=_FEATURES)
@@ -184,17 +206,26 @@ def features(stored: DataFrame) -> DataFrame:
     return map_rows(stored.select("doc_id", "n_bytes", "media"), read, FEATURES)
 
 
-def to_arrow(tensors: list[bytes]) -> pa.FixedShapeTensorArray:
-    """A row's tensors as an Arrow array of fixed shape."""
-    return pa.FixedShapeTensorArray.from_numpy_ndarray(np.frombuffer(b"".join(tensors), np.int8).reshape(-1, *TENSOR))
+def _stream(tensors: np.ndarray, spans: list[tuple[float, float]]) -> bytes:
+    columns = {"tensor": pa.FixedShapeTensorArray.from_numpy_ndarray(tensors), "start_s": pa.array([a for a, _ in spans], pa.float64()), "end_s": pa.array([b for _, b in spans], pa.float64())}
+    batch, out = pa.RecordBatch.from_pydict(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def to_arrow(tensors: bytes) -> pa.Table:
+    """A row's tensors, of Arrow's fixed-shape type, with their time spans."""
+    return pa.ipc.open_stream(tensors).read_all()
 
 
 def op3_audio_features(documents: DataFrame) -> DataFrame:
     """The contract's digest of every text: stored as WAV files in a table, read back, analysed, and stored again.
 
     Null texts are empty, that is one block of spaces; repeated rows and null ids keep their rows; an empty table has
-    none. Texts of any length are analysed whole, in chunks.
+    none. Texts of any length are analysed whole.
     """
     run = Run(documents.sparkSession, "audio")
     heard = run.table("features", features(run.table("media", media(documents))))
-    return heard.drop("tensors", "spans", "segments")
+    run.drop("media")
+    return heard.drop("tensors", "segments")
