@@ -19,9 +19,14 @@ SHARE = 75
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
 #: Least share of equal minima for which a pair's whole sets are compared in full(). At a similarity of 0.75 the share
-#: of 128 minima falls below it with a probability of 14 in a million.
-ALIKE = 0.58
-BLOCK = 512
+#: of 128 minima falls below it with a probability of 0.2 in a million.
+ALIKE = 0.54
+#: Members to a side of a block; a member's copies in a bucket's blocks are one for each BLOCK others.
+BLOCK = 2048
+#: Shingles of all sets that one check of a block holds, unless a single pair has more.
+HELD = 1 << 20
+#: Links of one hub that are confirmed in one place.
+HUB = 1024
 SLICE_CHARS = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -183,25 +188,31 @@ def components(run: Run, edges: DataFrame, name: str, most: int = 60) -> DataFra
         pairs = F.explode(F.array(F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo"))))
         small = large.join(least, "hi").select(pairs.alias("p")).select("p.hi", "p.lo").where("hi <> lo").distinct()
         edges = run.table(f"{name}-{step}", small)
+        run.drop(f"{name}-{step - 1}")
     raise RuntimeError(f"components did not settle in {most} rounds")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets share SHARE percent of their union."""
+def _linked(pairs: DataFrame, sets: DataFrame, hub: int = HUB) -> DataFrame:
+    """The pairs (a, b) whose whole sets share SHARE percent of their union. The pairs of an a that has more than hub of
+    them are spread over as many places as that takes, each with a copy of its set."""
+    spread = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hub).select("a", F.ceil(F.col("n") / hub).cast("int").alias("places"))
+    salted = pairs.join(spread, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("places")).cast("int"), F.lit(0)).alias("salt"))
     one, two = (sets.select(F.col("doc_id").alias(c), F.col("items").alias(f"_{c}")) for c in "ab")
-    joined = pairs.join(two, "b").join(one, "a")
+    copies = one.join(spread, "a", "left").select("a", "_a", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("places"), F.lit(1)) - 1)).alias("salt"))
+    joined = salted.join(two, "b").join(copies, ["a", "salt"])
     common = F.size(F.array_intersect("_a", "_b"))
     return joined.where(100 * common >= SHARE * (F.size("_a") + F.size("_b") - common)).select("a", "b")
 
 
-_TRIED = "block long, a long, partners array<long>"
+_TRIED = "block long, run int, a long, partners array<long>"
 
 
-def _block_tries(rows: pa.Table) -> list[tuple[int | None, np.ndarray]]:
-    """For a block of one bucket: its remaining members with the others whose sketch and size allow a link.
+def _block_tries(rows: pa.Table, held: int = HELD) -> list[tuple[int, int | None, np.ndarray]]:
+    """For a block of one bucket: its remaining members with the others whose sketch and size allow a link, in runs.
 
-    Pairs of one component are left out, and pairs that an earlier band holds too, since that band's bucket has them.
-    A last entry, without a member of its own, lists all that the block's tries need, each once.
+    Pairs of one component are left out, and pairs that an earlier band holds too, since that band's bucket has them. A
+    run's sets have held shingles together, or it is one pair; its last entry, without a member of its own, lists all
+    that the run needs, each once.
     """
     ids, parts, sizes, rest, other = (rows.column(c).to_numpy() for c in ("a", "component", "n_shingles", "rest", "member"))
     if not rest.any() or len(rows) < 2:
@@ -210,27 +221,44 @@ def _block_tries(rows: pa.Table) -> list[tuple[int | None, np.ndarray]]:
     sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), MINIMA)
     earlier = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rows), BANDS)[:, :band]
     members = np.flatnonzero(other)
-    out: list[tuple[int | None, np.ndarray]] = []
+    out: list[tuple[int, int | None, np.ndarray]] = []
+    run, needed, size = 0, {}, 0
+
+    def closed() -> tuple[int, None, np.ndarray]:
+        return run, None, np.unique(np.fromiter(needed, np.int64, len(needed)))
+
     for i in np.flatnonzero(rest).tolist():
         may = members[(parts[members] != parts[i]) & (100 * np.minimum(sizes[members], sizes[i]) >= SHARE * np.maximum(sizes[members], sizes[i]))]
         may = may[(sketch[may] == sketch[i]).sum(1) >= ALIKE * MINIMA]
         may = may[~(earlier[may] == earlier[i]).any(1)]
-        if len(may):
-            out.append((int(ids[i]), np.unique(ids[may])))
-    if out:
-        out.append((None, np.unique(np.concatenate([[a] for a, _ in out] + [p for _, p in out]))))
+        partners: list[int] = []
+        for j in may.tolist():
+            more = sum(int(sizes[k]) for k in {i, j} if int(ids[k]) not in needed)
+            if needed and size + more > held:
+                if partners:
+                    out.append((run, int(ids[i]), np.unique(partners)))
+                out.append(closed())
+                run, needed, size, partners = run + 1, {}, 0, []
+                more = int(sizes[i]) + int(sizes[j])
+            size += more
+            needed |= {int(ids[i]): None, int(ids[j]): None}
+            partners.append(int(ids[j]))
+        if partners:
+            out.append((run, int(ids[i]), np.unique(partners)))
+    if needed:
+        out.append(closed())
     return out
 
 
-def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tries(batches: Iterator[pa.RecordBatch], held_shingles: int = HELD) -> Iterator[pa.RecordBatch]:
     """The tries of each block, of rows sorted by block; a block that goes on in the next batch waits for it."""
     held: pa.Table | None = None
 
     def done(rows: pa.Table) -> pa.RecordBatch:
         blocks = rows.column("block").to_numpy()
         cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
-        out = [(int(blocks[a]), *t) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for t in (_block_tries(rows.slice(a, b - a)) if b > a else [])]
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int64()))], names=["block", "a", "partners"])
+        out = [(int(blocks[a]), *t) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for t in (_block_tries(rows.slice(a, b - a), held_shingles) if b > a else [])]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.list_(pa.int64()))], names=["block", "run", "a", "partners"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -247,7 +275,7 @@ def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _checks(tries: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-    """The links among a block's tries, on whole sets."""
+    """The links among a run's tries, on whole sets."""
     items, out = dict(zip(sets["doc_id"].tolist(), sets["items"], strict=True)), []
     for a, partners in zip(tries["a"].tolist(), tries["partners"], strict=True):
         one = items[a]
@@ -263,7 +291,8 @@ def full(run: Run, members: DataFrame, parts: DataFrame, signed: DataFrame, sets
     """The links that parts (node, component) does not know yet, between members (key, band, a) of one bucket.
 
     In each bucket all members outside its largest component are tried against all members of other components, in
-    blocks of BLOCK by BLOCK, so that no bucket meets whole in one task; only links leave a block, not its pairs.
+    blocks of BLOCK by BLOCK, so that no bucket meets whole in one task; only links leave a block, not its pairs. A block
+    holds sketches; whole sets meet in runs of HELD shingles.
     """
     of = F.coalesce(F.col("component"), F.col("a"))
     placed = members.join(parts.withColumnRenamed("node", "a"), "a", "left").select("key", "band", "a", of.alias("component"))
@@ -277,9 +306,10 @@ def full(run: Run, members: DataFrame, parts: DataFrame, signed: DataFrame, sets
     as_member = mixed.select("*", spread("_columns", 2).alias("_j"), all_("_rows").alias("_i"), F.lit(False).alias("is_rest"))
     blocks = as_rest.unionByName(as_member).groupBy(F.xxhash64("key", "_i", "_j").alias("block"), "band", "a", "component").agg(F.max("is_rest").alias("rest"), F.max(~F.col("is_rest")).alias("member"))
     rows = blocks.join(signed.select(F.col("doc_id").alias("a"), "n_shingles", "sketch", "bands"), "a")
-    tries = run.table("tries", map_rows(rows.repartition("block").sortWithinPartitions("block"), _tries, _TRIED))
-    needed = tries.where("a is null").select(F.col("block").alias("of_block"), F.explode("partners").alias("doc_id")).join(sets.select("doc_id", "items"), "doc_id")
-    return tries.where("a is not null").groupBy("block").cogroup(needed.groupBy("of_block")).applyInPandas(_checks, "a long, b long")
+    held = HELD
+    tries = run.table("tries", map_rows(rows.repartition("block").sortWithinPartitions("block"), lambda batches: _tries(batches, held), _TRIED))
+    needed = tries.where("a is null").select(F.col("block").alias("of_block"), F.col("run").alias("of_run"), F.explode("partners").alias("doc_id")).join(sets.select("doc_id", "items"), "doc_id")
+    return tries.where("a is not null").groupBy("block", "run").cogroup(needed.groupBy("of_block", "of_run")).applyInPandas(_checks, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -287,8 +317,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     1. Rows with equal sets are one class, under the smallest doc_id in it; only classes go on.
     2. A class meets others under the same minima in one of BANDS bands of ROWS. Two sets with a similarity of 0.75
-       share no band with a probability of 5 in a million, and 4. passes over 14 in a million of those it tries; what is
-       found is whole but for these, 19 in a million together.
+       share no band with a probability of 5.2 in a million, and 4. passes over 0.2 in a million of those it tries; what
+       is found is whole but for these.
     3. In each bucket the class with the most neighbours is linked to all others, each link confirmed on whole sets.
        Components come from these links, by large-star and small-star.
     4. Where a bucket still holds several components, full() tries what is left, and components are joined by it.
@@ -320,6 +350,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     over = lambda c: F.coalesce(F.col(c), F.col(c[1:]))
     lifted = more.unionByName(same).join(parts.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left").join(parts.select(F.col("node").alias("b"), F.col("component").alias("_b")), "b", "left")
     joined = components(run, lifted.select(over("_a").alias("a"), over("_b").alias("b")), "joined")
+    run.drop("members", "mixed", "tries", "sets", "heads", "more")
     first = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("part"))
     named = first.join(joined, first.part == joined.node, "left").select("digest", F.coalesce("component", "part").alias("component_id"))
     found = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
