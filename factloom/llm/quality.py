@@ -20,6 +20,7 @@ STAT_BINS = 16
 RANK = 8
 #: At most so many labelled rows are learnt from, those whose hashed ids are smallest.
 SAMPLE = 6000
+SAMPLE_PARTS = 32
 
 _KINDS = np.zeros(256, np.uint8)
 _KINDS[[*range(65, 91)]] = 1
@@ -148,7 +149,8 @@ def sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, ke
     names = [f"_m{i}" for i in range(len(columns))]
     rows = documents.select(F.col("doc_id").alias("doc_id"), text_of().alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)])
     one = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("_hash"), "text", *names, "_label")).alias("row"))
-    return one.select(F.col("doc_id").cast("long").alias("doc_id"), "row.text", "row._label", *[f"row.{n}" for n in names])
+    one = one.select(F.col("doc_id").cast("long").alias("doc_id"), "row.text", "row._label", *[f"row.{n}" for n in names])
+    return one.repartition(SAMPLE_PARTS, "doc_id")  # else so few rows would be one task
 
 
 def fit(documents: DataFrame, labels: DataFrame, metadata: Sequence[str] = (), most: int = SAMPLE) -> Machine:

@@ -96,3 +96,28 @@ def test_run_is_all_stages_in_order(spark, tables):
     got = corpus_pipeline.run(spark, tables)
     assert got.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"] and got.count() > 300
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "MinHash near-dedup", "benchmark decontamination", "best-fit packing"]
+
+
+def test_run_on_empty_tables_and_with_more_columns(spark, tables, tmp_path):
+    """Empty documents, labels and benchmark; and columns named as the operators' own."""
+    from pathlib import Path
+
+    from factloom.llm.common import Run
+
+    whole = {n: spark.read.parquet(f"{tables}/{n}.parquet") for n in ("documents", "labels", "benchmark")}
+    for name, empty in (("no-documents", ("documents",)), ("no-labels", ("labels",)), ("nothing", ("documents", "labels", "benchmark"))):
+        for n, df in whole.items():
+            (df.limit(0) if n in empty else df.limit(60)).write.parquet(f"{tmp_path}/{name}/{n}.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert got.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]
+        assert (got.count() == 0) == ("documents" in empty)
+    more = whole["documents"].selectExpr("*", "1 as _label", "'x' as label", "0.5 as score", "2 as part", "3 as nth", "'k' as key", "4 as size", "5 as component_id", "true as kept", "6 as item_id", "7 as `start`", "8 as _hash", "9 as quality", "10 as toxic")
+    for n, df in {**whole, "documents": more}.items():
+        df.write.parquet(f"{tmp_path}/more/{n}.parquet")
+    opened = len(Run.opened)
+    got, want = corpus_pipeline.run(spark, f"{tmp_path}/more"), corpus_pipeline.run(spark, tables)
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, got.select(key).collect()), key=str) == sorted(map(tuple, want.select(key).collect()), key=str)
+    assert len(Run.opened) == opened + 4  # the runs themselves and their last stages
+    mine = next(r for r in Run.opened if r.path.rpartition("/")[2].startswith("pipeline"))
+    assert [p.name for p in Path(mine.path).iterdir()] == ["stage-3"]

@@ -1,7 +1,10 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from factloom.llm import sharding
@@ -31,6 +34,26 @@ def test_growth_moves_rows_only_into_the_new_shard_and_weights_hold(spark):
     assert abs(moved - 0.2) < 0.02
 
 
+def test_shards_against_the_greatest_score_computed_by_hand(spark):
+    """-weight / ln(u) of every shard for every key, with u from XXH64 of the shard's number, then of the key."""
+    weights = [1.0, 2.5, 0.5, 1.0, 3.0]
+    keys = [f"key {i}" for i in range(400)] + ["", "é", None]
+
+    def best(key):
+        scores = []
+        for i, w in enumerate(weights):
+            h = xxhash.xxh64_intdigest(("\x00null" if key is None else key).encode(), seed=xxhash.xxh64_intdigest(struct.pack("<i", i), seed=42))
+            scores.append(-w / math.log(((h >> 11) + 0.5) / (1 << 53)))
+        return scores.index(max(scores))
+
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {r["k"]: (r["shard"], r["grown_shard"]) for r in sharding.shard(df, "k", weights[:4], weights).collect()}
+    whole = {k: best(k) for k in keys}
+    last = weights.pop()
+    assert got == {k: (best(k), whole[k]) for k in keys} and last == 3.0
+    assert len({s for s, _ in got.values()}) == 4
+
+
 def test_columns_with_the_operators_own_names(odd, odd_rows):
     got = sharding.shard(odd.withColumn("slot", F.lit(9)), "doc_id", [1.0, 1.0], keep=["part", "nth", "key", "slot", "a"])
     assert got.columns == ["doc_id", "part", "nth", "key", "a", "shard", "slot", "grown_shard"]

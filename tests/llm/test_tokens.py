@@ -48,15 +48,55 @@ def test_token_files_hold_every_row_in_order(odd, odd_rows, monkeypatch):
     assert order == sorted(order, key=lambda k: (k is not None, k or 0))
 
 
-def test_lookup_by_key(odd, odd_rows):
-    run = Run(odd.sparkSession, "test-tokens")
-    segments = tokenbin.write(odd, "doc_id", "text", tokenizer_path(), 1, run)
-    got = tokenbin.lookup(segments, [5, 9, 12345]).collect()
+def test_lookup_by_key(spark, odd, odd_rows):
+    run = Run(spark, "test-tokens")
+    tokenbin.write(odd, "doc_id", "text", tokenizer_path(), 1, run.path)
+    got = tokenbin.lookup(spark, run.path, [5, 9, 12345]).collect()
     assert Counter((r["key"], tuple(r["ids"])) for r in got) == Counter((r[0], tuple(ids(r[1]) + [1])) for r in odd_rows if r[0] in (5, 9))
-    assert tokenbin.lookup(segments, []).count() == 0
+    assert tokenbin.lookup(spark, run.path, []).count() == 0
+    reader = tokenbin.Reader(run.path)
+    for key in {r[0] for r in odd_rows} - {None}:
+        assert Counter(tuple(x.tolist()) for x in reader.get(key)) == Counter(tuple(ids(r[1] or "") + [1]) for r in odd_rows if r[0] == key)
+    assert not any(reader.get(k) for k in range(10**6, 10**6 + 500))
     run.drop()
 
 
+def test_access_in_constant_steps_over_many_files_and_buckets(spark, monkeypatch):
+    """Small segments and buckets: a key costs the same few reads however many files there are; a hot key spans files."""
+    from pathlib import Path
+
+    texts = [(i * 7 - 700, f"text {i} " * (i % 5)) for i in range(300)] + [(77, f"copy {i}") for i in range(200)] + [(None, "none")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    run = Run(spark, "test-many")
+    tokenbin.write(df, "doc_id", "text", tokenizer_path(), 1, run.path, segment_tokens=100, bucket_keys=40)
+    files = [f for f in Path(f"{run.path}/ids").glob("part-*") if f.stat().st_size]
+    assert len(files) > 15 and len(list(Path(run.path).glob("index-*/bucket=*"))) > 5
+    raw = sum((tokenbin.Segment(f.read_bytes()).ids.tolist() for f in sorted(files, key=lambda f: (f.name.split("-")[1], f.name.rpartition("-c")[2]))), [])
+    assert raw[: len(ids("none")) + 1] == [*ids("none"), 1] and len(raw) == sum(len(ids(t)) + 1 for _, t in texts)
+    reader, reads = tokenbin.Reader(run.path, buckets_kept=100), []
+    inner = reader._documents
+    monkeypatch.setattr(reader, "_documents", lambda *a: reads.append(a) or inner(*a))
+    for k, t in texts[:300]:
+        if k != 77:
+            (found,) = reader.get(k)
+            assert found.tolist() == [*ids(t), 1]
+    assert len(reads) == len([k for k, _ in texts[:300] if k != 77])
+    assert Counter(tuple(x.tolist()) for x in reader.get(77)) == Counter(tuple([*ids(t), 1]) for k, t in texts if k == 77)
+    assert [reader.get(k) for k in (1, 10**12, -5)] == [[], [], []]
+    damaged = sorted(files)[0].read_bytes()
+    with pytest.raises(ValueError):
+        tokenbin.Segment(damaged[:-1])
+    run.drop()
+
+
+def test_other_tokenizer_files_are_encoded_whole(tmp_path):
+    import shutil
+
+    other = tmp_path / "other.json"
+    shutil.copy(tokenizer_path(), other)
+    assert encoder(tokenizer_path()).by_word and not encoder(str(other)).by_word and encoder(str(other), True).by_word
+
+
 def test_empty_tables(nothing):
     assert tokenbin.op8_mph_token_files(nothing).count() == 0
     assert packing.op2_vector_best_fit(nothing).count() == 0
