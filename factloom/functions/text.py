@@ -11,8 +11,8 @@ from pyspark.sql.types import StringType
 
 from factloom.functions.expr import lookup, strip
 
-PAGE_LABEL = r"(?i)^\s*(?:page|seite)\s+[0-9]{1,4}(?:\s*(?:of|von|/)\s*[0-9]{1,4})?\s*$"
-PAGE_NUMBER = r"^\s*[-–]?\s*[0-9]{1,4}\s*[-–]?\s*$"
+PAGE_LABEL = r"(?i)^\s*(?:page|seite)\s+[0-9]{1,4}(?:\s*(?:of|von)\s*[0-9]{1,4})?\s*$"
+PAGE_NUMBER = r"(?i)^\s*(?:page|seite)?\s*[0-9]{1,4}(?:\s*(?:of|von)\s*[0-9]{1,4})?\s*$"
 WORD = r"[\p{L}\p{N}_]+"
 SENTENCE_END = r"([.!?])\s+"
 

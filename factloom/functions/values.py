@@ -64,8 +64,8 @@ def first_value(*values: Column) -> Column:
 
 
 def page_numbers(pages: Column, start: Column, end: Column) -> Column:
-    """Sorted distinct pages of a list and a range (of at most 500 pages; a wider one is ignored)."""
-    ranged = F.when((end >= start) & (end - start < 500), F.sequence(start, end)).otherwise(F.array().cast("array<int>"))
+    """Sorted distinct pages of a list and a range (whose ends are at most 500 apart; a wider one is ignored)."""
+    ranged = F.when((end >= start) & (end - start <= 500), F.sequence(start, end)).otherwise(F.array().cast("array<int>"))
     return F.array_sort(F.array_distinct(F.concat(F.coalesce(pages, F.array().cast("array<int>")), F.coalesce(ranged, F.array().cast("array<int>")))))
 
 

@@ -48,9 +48,12 @@ def expand(seeds: DataFrame, edges: DataFrame, max_depth: int | None, cut: Calla
     """node and depth of all nodes within max_depth steps of the seeds (node), along edges (src, dst).
 
     Level by level: each level's nodes are those that the edges reach and that no earlier level holds. The number of
-    levels, not of nodes, bounds the driver's loop; cut(df, name) may write a level to a table to shorten lineage. Without
-    max_depth the loop ends with the first empty level, and each level is looked at once; pass cut then.
+    levels, not of nodes, bounds the driver's loop. cut(df, name) writes a level to a table; beyond two levels it is
+    needed, since each level's plan would hold all earlier ones twice. Without max_depth the loop ends with the first
+    empty level.
     """
+    if cut is None and (max_depth is None or max_depth > 2):
+        raise ValueError("pass cut for more than two levels")
     found = seeds.select("node").distinct().withColumn("depth", F.lit(0))
     level = found
     for step in count(1) if max_depth is None else range(1, max_depth + 1):

@@ -45,9 +45,9 @@ def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
     All columns of pages but html stay. Pages whose markup needs a parser go through html.anchors_parsed instead.
     """
     source = F.coalesce(F.col(html), F.lit(""))
-    found = F.arrays_zip(F.regexp_extract_all(source, F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all(source, F.lit(ANCHOR), F.lit(2)).alias("inner"))
+    found = F.regexp_extract_all(source, F.lit(ANCHOR), F.lit(0))  # one pass over the page; then each anchor is split
     rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c != html], F.posexplode(found).alias("pos", "_a"))
-    return rows.withColumn("href", strip(F.col("_a.href"))).withColumn("text", plain(F.col("_a.inner"))).drop("_a")
+    return rows.withColumn("href", strip(F.regexp_extract("_a", ANCHOR, 1))).withColumn("text", plain(F.regexp_extract("_a", ANCHOR, 2))).drop("_a")
 
 
 def plain(markup: Column) -> Column:

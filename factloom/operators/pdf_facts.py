@@ -126,7 +126,12 @@ def identified(facts: DataFrame, document: str, order: str) -> DataFrame:
     return facts.withColumn("fact_id", F.concat_ws("_", F.lit("pdf"), text.snake(F.col(document).cast("string")), F.format_string("%04d", number), short))
 
 
-def summary(calls: DataFrame, found: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row: chunks that succeeded and failed, facts before and after the dedupe, and duplicates."""
-    a = calls.agg(F.count_if(F.col("status") == "success").alias("succeeded"), F.count_if(F.col("status") == "failed").alias("failed"))
-    return a.join(found.agg(F.count(F.lit(1)).alias("facts_found"))).join(kept.agg(F.count(F.lit(1)).alias("facts_kept"))).withColumn("duplicates", F.col("facts_found") - F.col("facts_kept"))
+def summary(calls: DataFrame, found: DataFrame, kept: DataFrame, document: str) -> DataFrame:
+    """Per document: chunks that succeeded and failed, facts before and after the dedupe, duplicates, and the sorted pages
+    that the kept facts stand on. calls: document, status. kept: document, pages (array of int)."""
+    a = calls.groupBy(document).agg(F.count_if(F.col("status") == "success").alias("succeeded"), F.count_if(F.col("status") == "failed").alias("failed"))
+    b = found.groupBy(document).agg(F.count(F.lit(1)).alias("facts_found"))
+    c = kept.groupBy(document).agg(F.count(F.lit(1)).alias("facts_kept"))
+    pages = kept.select(document, F.explode("pages").alias("_p")).groupBy(document).agg(F.array_sort(F.collect_set("_p")).alias("pages"))
+    rows = a.join(b, document, "left").join(c, document, "left").join(pages, document, "left").fillna(0, ["facts_found", "facts_kept"])
+    return rows.withColumn("duplicates", F.col("facts_found") - F.col("facts_kept")).withColumn("pages", F.coalesce("pages", F.array().cast("array<int>")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import numbers, urls
@@ -78,6 +78,11 @@ def ranking_order() -> list[Column]:
     return [F.desc(F.coalesce("year", F.lit(0))), F.asc(F.coalesce("ranking_id", F.lit(0)))]
 
 
+def numbered(rankings: DataFrame, key: str, order: str) -> DataFrame:
+    """Adds place (from 1): each key's rankings in ranking_order, ties by order."""
+    return rankings.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*ranking_order(), order)))
+
+
 def summary(profile: Column) -> Column:
     """Counts of the nested arrays of a merged profile: rankings, history records, criteria."""
     sizes = lambda name: F.aggregate(F.coalesce(F.transform(profile["rankings"], lambda r: F.size(r[name])), F.array().cast("array<int>")), F.lit(0), lambda a, b: a + F.greatest(b, F.lit(0)))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions.expr import lookup
 
-#: Dollars per million tokens, (input, output); a parameter of summary().
-PRICES = {"small": (0.10, 0.40), "medium": (0.50, 1.50), "large": (2.00, 8.00)}
+# Dollars per million tokens, (input, output); a parameter of summary().
+PRICES = {"gpt-4.1": (2.00, 8.00), "gpt-4.1-mini": (0.40, 1.60), "gpt-4.1-nano": (0.10, 0.40), "openai/gpt-oss-120b": (0.15, 0.60), "meta/llama-3.1-70b-instruct": (0.90, 0.90), "llama-3.3-70b-versatile": (0.59, 0.79)}
 
 
 def summary(records: DataFrame, prices: dict[str, tuple[float, float]] | None = None) -> DataFrame:

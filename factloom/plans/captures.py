@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from factloom.functions import html, text, urls
 from factloom.functions.expr import alternation
 from factloom.operators import frontier
 from factloom.plans.web import HOST, NORMAL, pages
-from factloom.sources import services, sinks, sitemaps
+from factloom.sources import scratch, services, sinks, sitemaps
 from factloom.streaming import frontier as streams
 
 
@@ -64,7 +63,7 @@ def _stub_model(content: str) -> str:
 def model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-20, CMP-04, NST-03, STM-04, FLT-16: the facts of a stub model's replies to every benchmark item."""
     chunks = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select(F.col("item_id").alias("chunk_id"), F.col("text").alias("content"))
-    found, _ = services.extracted(chunks, _stub_model)
+    found, _, _ = services.extracted(chunks, _stub_model)
     return found.select("chunk_id", "pos", "category", "field", "value", F.round("confidence", 2).alias("confidence"))
 
 
@@ -87,10 +86,10 @@ def stream_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STM-01 (streaming form), AGG-05: events by five-minute window, as a stream that reads what there is."""
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     schema = spark.read.parquet(path).schema
-    name = f"usage_{uuid.uuid4().hex}"
+    place = scratch.folder(spark, "usage")
     found = streams.usage(spark.readStream.schema(schema).parquet(f"{path}*"))
-    found.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "calls", F.round("value", 4).alias("value"))
+    streams.kept(found, f"{place}/table", f"{place}/checkpoint").awaitTermination()
+    return streams.latest(spark, f"{place}/table", found.schema, ["start", "event_type"]).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "calls", F.round("value", 4).alias("value"))
 
 
 stream_usage_sql = "SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS start, event_type, count(*) AS calls, round(sum(value), 4) AS value FROM events GROUP BY 1, 2"

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.plans import captures, profiles, records, texts, university, web
+from factloom.plans import captures, evidence, profiles, records, texts, university, web
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES, **texts.QUERIES, **records.QUERIES, **captures.QUERIES, **profiles.QUERIES, **university.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**web.QUERIES, **texts.QUERIES, **records.QUERIES, **captures.QUERIES, **profiles.QUERIES, **university.QUERIES, **evidence.QUERIES}
 
-ORACLES: dict[str, str] = {**web.ORACLES, **texts.ORACLES, **records.ORACLES, **captures.ORACLES, **profiles.ORACLES, **university.ORACLES}
+ORACLES: dict[str, str] = {**web.ORACLES, **texts.ORACLES, **records.ORACLES, **captures.ORACLES, **profiles.ORACLES, **university.ORACLES, **evidence.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

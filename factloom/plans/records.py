@@ -124,11 +124,17 @@ batches_sql = "SELECT c_nationkey, c_custkey, CAST(floor((row_number() OVER (PAR
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Web and PDF facts of the same customers: the PDF side lacks some, renames some and changes some values."""
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), F.lit("customer").alias("type"), F.concat(F.lit("Client "), F.col("c_name")).alias("name"), F.col("c_nationkey").cast("string").alias("parent_id"), F.col("c_mktsegment").alias("parent_name"), F.lit("segment").alias("field"), F.col("c_mktsegment").alias("value"), F.col("c_custkey").alias("k"))
-    web = c.select("pos", "type", F.when(F.col("k") % 3 != 0, F.col("k").cast("string")).alias("id"), "name", "parent_id", "parent_name", "field", F.when(F.col("k") % 11 == 0, F.lit("")).otherwise(F.col("value")).alias("value"))
-    changed = F.when(F.col("k") % 7 == 0, F.concat(F.col("value"), F.lit(" and household goods"))).when(F.col("k") % 7 == 1, F.lit("OTHER")).otherwise(F.lower("value"))
-    pdf = c.where("k % 4 <> 0").select((F.col("pos") + 1_000_000).alias("pos"), "type", F.when(F.col("k") % 5 == 0, F.concat(F.lit("n"), F.col("k").cast("string"))).otherwise(F.col("k").cast("string")).alias("id"), F.when(F.col("k") % 13 == 0, F.lit("Somebody Else")).otherwise(F.col("name")).alias("name"), "parent_id", "parent_name", "field", changed.alias("value"))
+    """Web and PDF facts of the same customers, in two programmes whose facts share names: the PDF side lacks some, renames
+    or reorders some names and changes some values; some facts have neither id nor name."""
+    k = F.col("c_custkey")
+    name = F.when(k % 17 != 0, F.concat(F.lit("Client Number "), F.floor(k / 2).cast("string")))
+    c = table(spark, sf_dir, "customer").select(F.concat(F.lit("p"), (k % 2).cast("string")).alias("key"), k.alias("pos"), F.lit("customer").alias("type"), name.alias("name"), F.col("c_nationkey").cast("string").alias("parent_id"), F.col("c_mktsegment").alias("parent_name"), F.lit("segment").alias("field"), F.col("c_mktsegment").alias("value"), k.alias("k"))
+    k = F.col("k")
+    named = k % 17 != 0
+    web = c.select("key", "pos", "type", F.when(named & (k % 3 != 0), k.cast("string")).alias("id"), "name", "parent_id", "parent_name", "field", F.when(k % 11 == 0, F.lit("")).otherwise(F.col("value")).alias("value"))
+    changed = F.when(k % 7 == 0, F.concat(F.col("value"), F.lit(" and household goods"))).when(k % 7 == 1, F.lit("OTHER")).otherwise(F.lower("value"))
+    other = F.when(k % 13 == 0, F.lit("Somebody Else")).when(k % 15 == 0, F.concat(F.floor(k / 2).cast("string"), F.lit(" number, client"))).otherwise(F.col("name"))
+    pdf = c.where("k % 4 <> 0").select("key", (F.col("pos") + 1_000_000).alias("pos"), "type", F.when(named, F.when(k % 5 == 0, F.concat(F.lit("n"), k.cast("string"))).otherwise(k.cast("string"))).alias("id"), F.when(named, other).alias("name"), "parent_id", "parent_name", "field", changed.alias("value"))
     return web, pdf
 
 
@@ -139,18 +145,20 @@ def enrich_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TOK = lambda x: f"list_distinct(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}_]+'))"
 _SIM = "(0.45 * (c / (n + m - c)) + 0.4 * (c / least(n, m)) + 0.15 * (least(n, m) / greatest(n, m)))"
-SIDES = """web AS (SELECT c_custkey AS pos, CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS id, 'Client ' || c_name AS name, CAST(c_nationkey AS VARCHAR) AS parent_id, c_mktsegment AS parent_name, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_mktsegment END AS value FROM customer),
-pdf AS (SELECT c_custkey + 1000000 AS pos, CASE WHEN c_custkey % 5 = 0 THEN 'n' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS id, CASE WHEN c_custkey % 13 = 0 THEN 'Somebody Else' ELSE 'Client ' || c_name END AS name, CAST(c_nationkey AS VARCHAR) AS parent_id, c_mktsegment AS parent_name,
+SIDES = """web AS (SELECT 'p' || c_custkey % 2 AS key, c_custkey AS pos, CASE WHEN c_custkey % 17 <> 0 AND c_custkey % 3 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS id, CASE WHEN c_custkey % 17 <> 0 THEN 'Client Number ' || c_custkey // 2 END AS name, CAST(c_nationkey AS VARCHAR) AS parent_id, c_mktsegment AS parent_name, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_mktsegment END AS value FROM customer),
+pdf AS (SELECT 'p' || c_custkey % 2 AS key, c_custkey + 1000000 AS pos, CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN 'n' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS id,
+ CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'Somebody Else' WHEN c_custkey % 15 = 0 THEN c_custkey // 2 || ' number, client' ELSE 'Client Number ' || c_custkey // 2 END AS name, CAST(c_nationkey AS VARCHAR) AS parent_id, c_mktsegment AS parent_name,
  CASE c_custkey % 7 WHEN 0 THEN c_mktsegment || ' and household goods' WHEN 1 THEN 'OTHER' ELSE lower(c_mktsegment) END AS value FROM customer WHERE c_custkey % 4 <> 0)"""
 MATCH = f"""{SIDES},
-met AS (SELECT w.pos AS w, p.pos AS p FROM web w JOIN pdf p ON w.id = p.id UNION SELECT w.pos, p.pos FROM web w JOIN pdf p ON lower(w.name) = lower(p.name)),
+met AS (SELECT w.pos AS w, p.pos AS p FROM web w JOIN pdf p ON w.key = p.key AND w.id = p.id UNION SELECT w.pos, p.pos FROM web w JOIN pdf p ON w.key = p.key AND lower(w.name) = lower(p.name)
+ UNION SELECT w.pos, p.pos FROM web w JOIN pdf p ON w.key = p.key AND w.parent_id = p.parent_id WHERE coalesce(w.id, w.name, p.id, p.name) IS NULL),
 pairs AS (SELECT m.w, m.p, w.id AS wid, p.id AS pid, w.name AS wn, p.name AS pn, w.parent_id = p.parent_id AS pi, w.parent_name = p.parent_name AS pp, {_TOK('w.name')} AS a, {_TOK('p.name')} AS b FROM met m JOIN web w ON w.pos = m.w JOIN pdf p ON p.pos = m.p),
 sized AS (SELECT *, len(list_intersect(a, b)) AS c, len(a) AS n, len(b) AS m FROM pairs),
-scored AS (SELECT p AS pdf_pos, w AS web_pos, 60.0 + CASE WHEN wid = pid THEN 35 WHEN wid IS NOT NULL AND pid IS NOT NULL THEN -35 ELSE 0 END + CASE WHEN lower(wn) = lower(pn) THEN 25.0 ELSE 20 * {_SIM} END + CASE WHEN pi THEN 10 ELSE 0 END + CASE WHEN pp THEN 5 ELSE 0 END AS score FROM sized),
+scored AS (SELECT p AS pdf_pos, w AS web_pos, 60.0 + CASE WHEN wid = pid THEN 35 WHEN wid IS NOT NULL AND pid IS NOT NULL THEN -35 ELSE 0 END + CASE WHEN wn IS NULL OR pn IS NULL THEN 0 WHEN lower(wn) = lower(pn) THEN 25.0 ELSE 20 * {_SIM} END + CASE WHEN pi THEN 10 ELSE 0 END + CASE WHEN pp THEN 5 ELSE 0 END AS score FROM sized),
 exact AS (SELECT * FROM scored WHERE score >= 70 QUALIFY row_number() OVER (PARTITION BY pdf_pos ORDER BY score DESC, web_pos) = 1),
-wt AS (SELECT pos, name, {_TOK('name')} AS t FROM web), pt AS (SELECT pos, name, {_TOK('name')} AS t FROM pdf WHERE pos NOT IN (SELECT pdf_pos FROM exact)),
-wx AS (SELECT pos, t, unnest(t) AS x FROM wt), px AS (SELECT pos, t, unnest(t) AS x FROM pt WHERE len(t) > 0),
-near AS (SELECT px.pos AS pdf_pos, wx.pos AS web_pos, any_value(len(list_intersect(wx.t, px.t))) AS c, any_value(len(wx.t)) AS n, any_value(len(px.t)) AS m FROM px JOIN wx USING (x) GROUP BY 1, 2),
+wt AS (SELECT key, pos, name, {_TOK('name')} AS t FROM web), pt AS (SELECT key, pos, name, {_TOK('name')} AS t FROM pdf WHERE pos NOT IN (SELECT pdf_pos FROM exact)),
+wx AS (SELECT key, pos, t, unnest(t) AS x FROM wt), px AS (SELECT key, pos, t, unnest(t) AS x FROM pt WHERE len(t) > 0),
+near AS (SELECT px.pos AS pdf_pos, wx.pos AS web_pos, any_value(len(list_intersect(wx.t, px.t))) AS c, any_value(len(wx.t)) AS n, any_value(len(px.t)) AS m FROM px JOIN wx USING (key, x) GROUP BY 1, 2),
 fuzzy AS (SELECT pdf_pos, web_pos, 70 + 20 * {_SIM} AS score FROM near WHERE {_SIM} >= 0.92 QUALIFY row_number() OVER (PARTITION BY pdf_pos ORDER BY {_SIM} DESC, web_pos) = 1),
 found AS (SELECT *, 'exact' AS how FROM exact UNION ALL SELECT *, 'fuzzy' FROM fuzzy)"""
 enrich_match_sql = f"WITH {MATCH} SELECT pdf_pos, web_pos, round(score, 6) AS score, how FROM found"
@@ -159,15 +167,15 @@ enrich_match_sql = f"WITH {MATCH} SELECT pdf_pos, web_pos, round(score, 6) AS sc
 def enrich_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CMP-06, CMP-07, AGG-15, DED-05: every fact after enrichment, with status, sources and conflicts."""
     rows = enrichment.enrich(*_sides(spark, sf_dir))
-    return rows.select("pos", "origin", "value", "status", F.array_join(F.transform("supporting", lambda x: x.cast("string")), ",").alias("supporting"), F.array_join("conflicts", ",").alias("conflicts"))
+    return rows.select("key", "pos", "origin", "value", "status", F.array_join(F.transform("supporting", lambda x: x.cast("string")), ",").alias("supporting"), F.array_join("conflicts", ",").alias("conflicts"))
 
 
 enrich_merge_sql = f"""WITH {MATCH},
 v AS (SELECT f.pdf_pos, f.web_pos, w.value AS web_value, p.value AS pdf_value, lower(w.value) AS a, lower(p.value) AS b FROM found f JOIN web w ON w.pos = f.web_pos JOIN pdf p ON p.pos = f.pdf_pos),
 d AS (SELECT *, CASE WHEN a = b THEN 'confirmed' WHEN trim(a) = '' THEN 'filled' WHEN contains(b, a) AND length(b) > 1.15 * length(a) THEN 'richer' WHEN length(a) >= 4 AND length(b) >= 4 AND (contains(a, b) OR contains(b, a)) THEN 'compatible' ELSE 'conflict' END AS decision FROM v),
 s AS (SELECT web_pos, max(CASE WHEN decision = 'conflict' THEN 3 WHEN decision IN ('filled', 'richer') THEN 2 ELSE 1 END) AS strength, arg_min(pdf_value, pdf_pos) FILTER (decision IN ('filled', 'richer')) AS new_value, string_agg(CAST(pdf_pos AS VARCHAR), ',' ORDER BY pdf_pos) AS supporting, string_agg(DISTINCT pdf_value, ',' ORDER BY pdf_value) FILTER (decision = 'conflict') AS conflicts FROM d GROUP BY web_pos)
-SELECT w.pos, 'web' AS origin, coalesce(s.new_value, w.value) AS value, ['original', 'confirmed', 'enriched', 'conflict'][coalesce(s.strength, 0) + 1] AS status, coalesce(s.supporting, '') AS supporting, coalesce(s.conflicts, '') AS conflicts FROM web w LEFT JOIN s ON s.web_pos = w.pos
-UNION ALL SELECT pos, 'pdf', value, 'added_from_pdf', CAST(pos AS VARCHAR), '' FROM pdf WHERE pos NOT IN (SELECT pdf_pos FROM found)"""
+SELECT w.key, w.pos, 'web' AS origin, coalesce(s.new_value, w.value) AS value, ['original', 'confirmed', 'enriched', 'conflict'][coalesce(s.strength, 0) + 1] AS status, coalesce(s.supporting, '') AS supporting, coalesce(s.conflicts, '') AS conflicts FROM web w LEFT JOIN s ON s.web_pos = w.pos
+UNION ALL SELECT key, pos, 'pdf', value, 'added_from_pdf', CAST(pos AS VARCHAR), '' FROM pdf WHERE pos NOT IN (SELECT pdf_pos FROM found)"""
 
 
 def _ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,11 +241,11 @@ number_parse_sql = """SELECT p_partkey, p_size / 2 AS number, ['ects', 'credits'
 
 def usage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-05, NUM-07: calls, tokens and cost by stage and in all, of events taken as usage records."""
-    models = F.get(F.array(*map(F.lit, ("small", "medium", "large", "unknown"))), (F.col("user_id") % 4).cast("int"))
+    models = F.get(F.array(*map(F.lit, [*usage.PRICES][:3] + ["unknown"])), (F.col("user_id") % 4).cast("int"))
     return usage.summary(table(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), models.alias("model"), (F.col("event_id") % 5000).alias("prompt_tokens"), (F.col("event_id") % 700).alias("completion_tokens")))
 
 
-_PRICE = lambda i: "CASE user_id % 4 " + " ".join(f"WHEN {k} THEN {round(p[i] * 1000)}" for k, p in enumerate(usage.PRICES.values())) + " ELSE 0 END"
+_PRICE = lambda i: "CASE user_id % 4 " + " ".join(f"WHEN {k} THEN {round(p[i] * 1000)}" for k, p in enumerate([*usage.PRICES.values()][:3])) + " ELSE 0 END"
 usage_summary_sql = f"""WITH r AS (SELECT event_type AS stage, event_id % 5000 AS p, event_id % 700 AS c, event_id % 5000 * {_PRICE(0)} + event_id % 700 * {_PRICE(1)} AS m FROM events)
 SELECT stage, count(*) AS calls, CAST(sum(p) AS BIGINT) AS prompt_tokens, CAST(sum(c) AS BIGINT) AS completion_tokens, CAST(sum(p + c) AS BIGINT) AS total_tokens, CAST(sum(m) AS BIGINT) AS nano_dollars FROM r GROUP BY ROLLUP (stage)"""
 

@@ -25,7 +25,7 @@ def run(pages: DataFrame, model: Callable[[str], str], limit: int | None = None)
     queue = links.manifest(links.discover(pages))
     chunks = chunking.evidence_chunks(pages.select("page_id", html.to_markdown(F.col("html")).alias("text")), "page_id", "text")
     named = chunks.select(F.concat_ws("/", F.col("page_id").cast("string"), "chunk_id").alias("chunk_id"), "content")
-    found, calls = services.extracted(named, model)
+    found, calls, rejects = services.extracted(named, model)
     raw = found.withColumn("page_id", F.substring_index("chunk_id", "/", 1).cast("long"))
     checked = facts.checked(raw)
     good = checked.where("problem is null").drop("problem")

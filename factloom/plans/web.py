@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import urls
 from factloom.functions.expr import alternation
 from factloom.operators import discovery, frontier, links
+from factloom.sources import scratch
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +244,7 @@ def _edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def bfs_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STM-02, SRC-08, SRC-09: nodes by their least distance from a seed, level by level."""
-    return frontier.expand(*_edges(spark, sf_dir), max_depth=4)
+    return frontier.expand(*_edges(spark, sf_dir), max_depth=4, cut=scratch.cutter(spark, "reach"))
 
 
 bfs_reach_sql = """WITH RECURSIVE e AS (SELECT n_nationkey AS src, unnest([(n_nationkey * 2 + 1) % 25, (n_nationkey * 3 + 7) % 25]) AS dst FROM nation),
@@ -251,15 +252,11 @@ w(node, depth) AS (SELECT 0, 0 UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON
 SELECT CAST(node AS INTEGER) AS node, CAST(min(depth) AS INTEGER) AS depth FROM w GROUP BY node"""
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-
 def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-08, FLT-03, FLT-04, FLT-13: the links that crawls of all sites come upon; each site's pages are its seeds."""
     p = pages(spark, sf_dir)
     seeds = p.select(frontier.site_of(F.col("url")).alias("site"), urls.normalise(F.col("url")).alias("url")).distinct()
-    return frontier.crawl(seeds, p, cut=_kept)
+    return frontier.crawl(seeds, p, cut=scratch.cutter(spark, "crawl"))
 
 
 crawl_pages_sql = f"""

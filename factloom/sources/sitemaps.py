@@ -64,8 +64,10 @@ def locations(xml: Column, parent: str) -> Column:
 def pages(files: DataFrame, skipped: list[str] | None = None, max_depth: int = 2, limit: int | None = None, cut: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """sitemap, url, pos of all pages that the sitemaps lead to, following indexes level by level, each file once.
 
-    Levels of indexes are few; for more than two pass cut(df, name), which writes a level to a table.
+    Levels of indexes are few; for more than two cut(df, name) is needed, which writes a level to a table.
     """
+    if cut is None and max_depth > 2:
+        raise ValueError("pass cut for more than two levels")
     level = robots(files).join(files.where("status = 200"), "url").select("url", "text")
     seen = level.select("url")
     reached = level

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import html, numbers, text, urls, values
 from factloom.operators import chunking, discovery, enrichment, facts, frontier, layout, links, rankings, usage
-from factloom.sources import packs, services, sinks, sitemaps
+from factloom.sources import packs, scratch, services, sinks, sitemaps
 from factloom.streaming import frontier as streams
 
 
@@ -101,7 +101,7 @@ def test_frontier(spark):
     edges = spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 3), (9, 8)], "src int, dst int")
     edges.createOrReplaceTempView("test_edges")
     spark.range(1).select(F.col("id").cast("int").alias("node")).createOrReplaceTempView("test_seeds")
-    level = {tuple(r) for r in frontier.expand(spark.table("test_seeds"), edges, 5).collect()}
+    level = {tuple(r) for r in frontier.expand(spark.table("test_seeds"), edges, 5, scratch.cutter(spark, "test")).collect()}
     assert level == {tuple(r) for r in spark.sql(frontier.reach_sql("test_edges", "test_seeds", 5)).collect()} == {(0, 0), (1, 1), (2, 2), (3, 3)}
 
 
@@ -118,7 +118,7 @@ def test_crawl_follows_page_links_within_the_site(spark):
     ]
     seeds = spark.createDataFrame([("u.de", "https://www.u.de")], "site string, url string")
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    got = {r["url"]: r["programme"] for r in frontier.crawl(seeds, df, cut=lambda d, name: d.localCheckpoint()).collect()}
+    got = {r["url"]: r["programme"] for r in frontier.crawl(seeds, df, cut=scratch.cutter(spark, "test")).collect()}
     assert got == {"https://www.u.de/a": False, "https://m.u.de/b": False, "https://www.u.de": False, "https://www.u.de/study/master": True, "https://m.u.de/c": False, "https://m.u.de/degree/9": True, "https://m.u.de/programs": False}
 
 
@@ -192,12 +192,12 @@ def test_checked_facts(spark):
     assert got[1] == ("a", 1.0, None) and [got[i][2] for i in (2, 3, 4, 5)] == ["category", "field", "value", "confidence"]
 
 
-SIDE = "pos long, type string, id string, name string, parent_id string, parent_name string, field string, value string"
+SIDE = "key string, pos long, type string, id string, name string, parent_id string, parent_name string, field string, value string"
 
 
 def test_enrichment_decisions(spark):
-    web = spark.createDataFrame([(1, "m", "1", "A", None, None, "f", "6 ECTS"), (2, "m", "2", "B", None, None, "f", ""), (3, "m", "3", "C", None, None, "f", "Math"), (4, "m", "4", "D", None, None, "f", "x"), (5, "m", None, "a b c d e f g h i j k l m n", None, None, "f", "same")], SIDE)
-    pdf = spark.createDataFrame([(11, "m", "1", "A", None, None, "f", "6,0"), (12, "m", "2", None, None, None, "f", "new"), (13, "m", "3", None, None, None, "f", "Math and more"), (14, "m", "4", None, None, None, "f", "y"), (15, "m", "9", "a b c d e f g h i j k l m n", None, None, "f", "same"), (16, "m", "77", "Q", None, None, "f", "z"), (17, "m", "1", "A", None, None, "g", "other field")], SIDE)
+    web = spark.createDataFrame([("p", 1, "m", "1", "A", None, None, "f", "6 ECTS"), ("p", 2, "m", "2", "B", None, None, "f", ""), ("p", 3, "m", "3", "C", None, None, "f", "Math"), ("p", 4, "m", "4", "D", None, None, "f", "x"), ("p", 5, "m", None, "a b c d e f g h i j k l m n", None, None, "f", "same")], SIDE)
+    pdf = spark.createDataFrame([("p", 11, "m", "1", "A", None, None, "f", "6,0"), ("p", 12, "m", "2", None, None, None, "f", "new"), ("p", 13, "m", "3", None, None, None, "f", "Math and more"), ("p", 14, "m", "4", None, None, None, "f", "y"), ("p", 15, "m", "9", "a b c d e f g h i j k l m n", None, None, "f", "same"), ("p", 16, "m", "77", "Q", None, None, "f", "z"), ("p", 17, "m", "1", "A", None, None, "g", "other field")], SIDE)
     got = {(r["origin"], r["pos"]): r for r in enrichment.enrich(web, pdf).collect()}
     assert {k[1]: r["status"] for k, r in got.items() if k[0] == "web"} == {1: "confirmed", 2: "enriched", 3: "enriched", 4: "conflict", 5: "confirmed"}
     assert got["web", 2]["value"] == "new" and got["web", 3]["value"] == "Math and more" and got["web", 4]["value"] == "x" and got["web", 4]["conflicts"] == ["y"]
@@ -205,12 +205,24 @@ def test_enrichment_decisions(spark):
 
 
 def test_an_id_conflict_vetoes_an_exact_name(spark):
-    web = spark.createDataFrame([(1, "m", "1", "same name here", None, None, "f", "v")], SIDE)
-    pdf = spark.createDataFrame([(2, "m", "2", "same name here", None, None, "f", "v")], SIDE)
+    web = spark.createDataFrame([("p", 1, "m", "1", "same name here", None, None, "f", "v")], SIDE)
+    pdf = spark.createDataFrame([("p", 2, "m", "2", "same name here", None, None, "f", "v")], SIDE)
     assert enrichment.exact_matches(web, pdf).count() == 0
     assert enrichment.fuzzy_matches(web, pdf).first()["score"] == 90.0
 
 
+def test_programmes_never_meet(spark):
+    """Same ids and names in two programmes, and nameless facts of one parent."""
+    row = lambda key, pos, i, name, parent=None: (key, pos, "m", i, name, parent, None, "f", "v")
+    web = spark.createDataFrame([row("a", 1, "1", "Thesis"), row("a", 2, None, "a b c d e f g h i j k l m n"), row("b", 3, None, None, "x"), row(None, 4, "1", "Thesis")], SIDE)
+    pdf = spark.createDataFrame([row("b", 11, "1", "Thesis"), row("b", 12, None, "n m l k j i h g f e d c b a"), row("a", 13, None, None, "x"), row(None, 14, "1", "Thesis"), row("b", 15, None, None, "y"), row("b", 16, None, None, "x")], SIDE)
+    assert {(r["pdf_pos"], r["web_pos"]) for r in enrichment.matches(web, pdf).collect()} == {(16, 3)}
+    got = enrichment.enrich(web, pdf)
+    assert {(r["key"], r["pos"]): r["status"] for r in got.collect()} == {("a", 1): "original", ("a", 2): "original", ("b", 3): "confirmed", (None, 4): "original", ("b", 11): "added_from_pdf", ("b", 12): "added_from_pdf", ("a", 13): "added_from_pdf", (None, 14): "added_from_pdf", ("b", 15): "added_from_pdf"}
+    same = enrichment.matches(web.withColumn("key", F.lit("a")), pdf.withColumn("key", F.lit("a")))
+    assert {(r["pdf_pos"], r["web_pos"]) for r in same.collect()} == {(11, 1), (14, 1), (12, 2), (13, 3), (16, 3)}
+
+
 def test_ranks(spark):
     shown = {"#=12": (12, 12, 12, True, False), "501-510": (None, 501, 510, False, True), "501+": (501, 501, 501, False, False), "n/a": (None, None, None, False, False)}
     for k, want in shown.items():
@@ -232,7 +244,7 @@ def test_numbers(spark):
 
 
 def test_usage_rollup(spark):
-    df = spark.createDataFrame([("a", "small", 10, 5), ("a", "?", 10, 5), ("b", "large", 1, 1)], "stage string, model string, prompt_tokens long, completion_tokens long")
+    df = spark.createDataFrame([("a", "gpt-4.1-nano", 10, 5), ("a", "?", 10, 5), ("b", "gpt-4.1", 1, 1)], "stage string, model string, prompt_tokens long, completion_tokens long")
     got = {r["stage"]: (r["calls"], r["total_tokens"], r["nano_dollars"]) for r in usage.summary(df).collect()}
     assert got == {"a": (2, 30, 3000), "b": (1, 2, 10000), None: (3, 32, 13000)}
 
@@ -313,7 +325,7 @@ def test_services_record_failures(spark):
             raise RuntimeError("down")
         return 'ok {"facts": [{"category": "c", "field": "f", "value": "v"}, {"category": " "}, 3]}'
 
-    found, calls = services.extracted(chunks, model)
+    found, calls, rejects = services.extracted(chunks, model)
     assert [(r["chunk_id"], r["value"]) for r in found.collect()] == [("a", "v")]
     assert {r["chunk_id"]: (r["status"], r["attempts"]) for r in calls.collect()} == {"a": ("success", 1), "b": ("failed", 3)}
 
@@ -325,14 +337,21 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(Exception, match="exists"):
         sinks.sections(df, str(tmp_path / "s"))
     sinks.table(df, str(tmp_path / "t"))
-    sinks.upsert(df.withColumn("n", F.col("n") + 10).where("category = 'strange'"), str(tmp_path / "t"), "category")
-    assert {r["n"] for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {1, 12}
+    place = str(tmp_path / "u")
+    sinks.upsert(df, place, "category")
+    (tmp_path / "u" / "v=2").mkdir()  # a writer that crashed: no mark of success, so it is never read
+    (tmp_path / "u" / "v=2" / "part-0.parquet").write_bytes(b"junk")
+    assert {r["n"] for r in sinks.current(spark, place).collect()} == {1, 2}
+    for _ in range(3):
+        sinks.upsert(df.withColumn("n", F.col("n") + 10).where("category = 'strange'"), place, "category")
+        assert {r["n"] for r in sinks.current(spark, place).collect()} == {1, 12}
+    assert len(list((tmp_path / "u").glob("v=*"))) == 2
     sinks.documents(df, str(tmp_path / "d"), ["program_id"], "facts", ["n"])
     assert json.loads(spark.read.text(str(tmp_path / "d")).first()["value"])["count"] == 2
 
 
 def test_stream_expansion(spark, tmp_path):
-    spark.createDataFrame([("p", 1, True, "completed")], "url string, depth int, expand boolean, status string").selectExpr("url", "'' as parent", "1 as priority", "'' as category", "depth", "expand", "status").write.parquet(str(tmp_path / "q"))
+    spark.createDataFrame([("p", 1, True, "completed")], "url string, depth int, expand boolean, status string").selectExpr("url", "'' as parent", "1 as priority", "'' as category", "depth", "expand", "status").write.parquet(str(tmp_path / "q" / "batch=-1"))
     schema = "parent_url string, url string, internal boolean, purpose string, priority int, category string, pos int"
     spark.createDataFrame([("p", "n", True, "evidence", 9, "x", 1), ("p", "p", True, "evidence", 9, "x", 2)], schema).write.json(str(tmp_path / "l"))
     for _ in range(2):
@@ -380,3 +399,33 @@ def test_whole_pipeline_keeps_failures_apart(spark):
     got = university.run(pages, model)
     assert [(r["page_id"], r["section"], r["copies"]) for r in got["facts"].collect()] == [(1, "fees", 2)]
     assert sorted(r["status"] for r in got["calls"].collect()) == ["failed", "success"]
+
+
+def test_matrices_are_bounded_and_sparse_places_are_blank(spark):
+    cells = spark.createDataFrame([("t", 2, 1, "x", 1), ("t", 2, 1, "y", 2), ("t", 0, 3, "z", 1), ("t", -1, 0, "no", 1), ("u", 1_000_000, 1_000_000, "far", 1), ("v", 0, 0, None, 1)], "t string, r int, c int, v string, o int")
+    got = {r["t"]: (r["row_count"], r["column_count"], r["matrix"]) for r in layout.matrix(cells, ["t"], "r", "c", "v", "o").collect()}
+    assert got == {"t": (3, 4, [["", "", "", "z"], [""] * 4, ["", "y", "", ""]]), "u": (1_000_001, 1_000_001, None), "v": (1, 1, [[""]])}
+
+
+def test_folds_over_long_documents(spark):
+    """Packing and merging are one pass: a document of 200,000 lines is no trouble."""
+    lines = [f"line {i}" for i in range(200_000)]
+    df = spark.createDataFrame([(1, lines), (2, []), (3, None)], "k int, l array<string>")
+    got = {r["k"]: r for r in df.select("k", chunking.pack(F.col("l"), 100, 1).alias("n"), chunking.packed(F.col("l"), 100, "\n").alias("p"), chunking.merge_small(F.col("l"), 50, 200).alias("m")).collect()}
+    assert got[1]["n"] == chunking.packed_numbers(map(len, lines), 100, 1) and "\n".join(got[1]["p"]) == "\n".join(lines) and max(map(len, got[1]["p"])) <= 100
+    assert "\n\n".join(got[1]["m"]) == "\n\n".join(lines) and max(map(len, got[1]["m"])) <= 200
+    assert got[2]["n"] == got[2]["p"] == got[2]["m"] == [] and got[3]["n"] is got[3]["p"] is None
+
+
+def test_slow_services_run_out_of_time(spark):
+    import time
+
+    def slow(k):
+        if k == 2:
+            time.sleep(5)
+        return str(k)
+
+    rows = services.call(spark.createDataFrame([(1,), (2,), (3,)], "k int").coalesce(1), "k", ["k"], slow, 1, 0.0, workers=3, timeout=0.5).collect()
+    assert {r["k"]: r["status"] for r in rows} == {1: "success", 2: "failed", 3: "success"}
+    with pytest.raises(ValueError):
+        frontier.expand(rows, rows, 3)
