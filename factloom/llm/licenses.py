@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +92,8 @@ RULES = [
 #: Every known sentence holds one of these, so a text without them has none. They meet lower-cased raw texts, where any
 #: run of other signs may stand for a sentence's space.
 ANCHORS = "licen[sc]e|in no event shall|theory of liability|copyright|permission|warrant|redistribution|free software|rights reserved|unencumbered|gnu general|cc by|cc0|mpl".replace(" ", "[^a-z0-9]+")
+#: Each match of ANCHORS holds one of these as it is; plain search for them spares most texts the pattern.
+SIGNS = ("licen", "copyright", "permission", "warrant", "redistribution", "software", "reserved", "unencumbered", "gnu", "event", "liability", "cc", "mpl")
 #: A sentence ends at a stop before white space or the text's end. A line's end ends one too, or else
 #: is white space but for an empty line.
 STOP = r"[.!?;:]+(?:[ \t\n\x0B\f\r]+|\z)"
@@ -132,14 +137,16 @@ def scan(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     with the results' names are left out.
     """
     keep = [c for c in keep if c not in ("sentences", "wrapped", "licences")]
-    maybe = F.when(F.lower(text_of(text)).rlike(ANCHORS), text_of(text)).otherwise(F.lit(""))
+    held = df.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], text_of(f"`{text}`").alias("_text"), F.lower(text_of(f"`{text}`")).alias("_lower"))
+    signs = reduce(or_, [F.contains("_lower", F.lit(s)) for s in SIGNS])
+    maybe = F.when(signs & F.col("_lower").rlike(ANCHORS), F.col("_text")).otherwise(F.lit(""))
     names = F.create_map(*[F.lit(x) for pair in _licences().items() for x in pair])
 
     def matched(column: str) -> Column:
         return F.transform(F.regexp_extract_all(column, F.lit(f"({_pattern()})"), F.lit(1)), lambda m: F.element_at(names, m))
 
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], identifiers(maybe, True).alias("sentences"), identifiers(maybe, False).alias("wrapped"))
-    return rows.withColumn("licences", F.array_sort(F.array_distinct(F.concat(matched("sentences"), matched("wrapped")))))
+    rows = held.select(*[f"_k{i}" for i in range(len(keep))], identifiers(maybe, True).alias("sentences"), identifiers(maybe, False).alias("wrapped"))
+    return rows.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "sentences", "wrapped", F.array_sort(F.array_distinct(F.concat(matched("sentences"), matched("wrapped")))).alias("licences"))
 
 
 def op10_sentence_rules(documents: DataFrame) -> DataFrame:

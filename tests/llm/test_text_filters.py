@@ -140,6 +140,7 @@ def test_licence_tables_are_sound():
         for s in listed:
             assert re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s)
     plain = [s for listed in licenses.SENTENCES.values() for s in listed if not re.search(licenses.ANCHORS, s)]
+    assert all(any(sign in s for sign in licenses.SIGNS) for listed in licenses.SENTENCES.values() for s in listed if s not in plain)
     reachable = [s for s in plain if any(s in more for more in licenses.SENTENCES["apache-comply"])]
     assert plain == reachable
 
