@@ -212,16 +212,25 @@ def chosen(rows: Iterable[tuple[str, int, int]], tested: int, toxic: int, clean:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float, float]:
-    """Newton's method with a small ridge; without both labels, a constant."""
+    """Newton's method with a small ridge, each step halved until it gains; without both labels, a constant."""
     share = (y.sum() + 1) / (len(y) + 2)
     beta = np.array([math.log(share / (1 - share)), 0.0, 0.0])
-    if len(set(y.tolist())) == 2:
-        for _ in range(40):
-            p = 1 / (1 + np.exp(-np.clip(x @ beta, -40, 40)))
-            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(3), x.T @ (y - p) - ridge * beta)
-            beta = beta + step / max(1.0, np.abs(step).max() / 2)
-            if np.abs(step).max() < 1e-8:
-                break
+    if len(set(y.tolist())) < 2:
+        return tuple(beta.tolist())
+
+    def gain(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((y * z - np.logaddexp(0, z)).sum() - ridge / 2 * (beta @ beta))
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -40, 40)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(3), x.T @ (y - p) - ridge * beta)
+        size, best = 1.0, gain(beta)
+        while size > 1e-9 and gain(beta + size * step) < best:
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
     return tuple(beta.tolist())
 
 
