@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
@@ -33,12 +34,48 @@ class _Page(HTMLParser):
         self.skip: list[str] = []
         self.within: dict[str, int] = {}
         self.script: str | None = None
+        self.rows, self.cells, self.cell = 0, 0, 0  # of the table at hand; cell: how many tables deep its open cell is
+
+    def _close_row(self) -> None:
+        if self.cells:
+            self.out.append(" |\n")
+            if not self.rows:
+                self.out.append("|" + " - |" * self.cells + "\n")
+            self.rows += 1
+        self.cells = self.cell = 0
+
+    def _table(self, tag: str, begins: bool) -> bool:
+        """Writes tables as pipe tables, the first row over a line of dashes; what a cell holds stays on its line, and a
+        table within a cell is its text. Whether the tag is done with."""
+        if self.cell:
+            if tag == "table":
+                self.cell += 1 if begins else -1
+                if not self.cell:
+                    self._close_row()
+                    self.out.append("\n")
+            elif self.cell == 1 and tag == "tr":
+                self._close_row()
+            elif self.cell == 1 and begins and tag in ("td", "th"):
+                self.cells += 1
+                self.out.append(" | ")
+            elif tag in BLOCKS or tag in HEADINGS or tag in ("li", "dt", "br"):
+                self.out.append(" ")
+            return True
+        if tag == "table":
+            self.rows = self.cells = 0
+            self.out.append("\n\n")
+        elif tag in ("td", "th") and begins:
+            self.cells, self.cell = self.cells + 1, 1
+            self.out.append("| " if self.cells == 1 else " | ")
+        elif tag == "tr":
+            self._close_row()
+        return tag in ("table", "tr", "td", "th", "tbody", "thead", "tfoot")
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         named = dict(attrs)
         if tag in VOID:
             if tag == "br":
-                self.out.append("\n")
+                self.out.append(" " if self.cell else "\n")
             return
         if tag == "dd" and self.within.get("dt"):  # the term was not closed
             self.handle_endtag("dt")
@@ -49,7 +86,7 @@ class _Page(HTMLParser):
             self.skip.append(tag)
         if tag == "a":
             self.anchors.append((named.get("href") or "", []))
-        if self.skip:
+        if self.skip or self._table(tag, True):
             return
         if tag in HEADINGS:
             self.out.append("\n\n" + "#" * HEADINGS[tag] + " ")
@@ -71,6 +108,8 @@ class _Page(HTMLParser):
                 while self.skip and self.skip.pop() != tag:
                     pass
             return
+        if self._table(tag, False):
+            return
         if tag == "dt":
             self.out.append(":** ")
         elif tag in HEADINGS or (tag in BLOCKS and tag != "dt"):
@@ -282,3 +321,83 @@ def layout_chunks(docs: DataFrame, key: str, text: str, **limits: int) -> DataFr
 
     rows = docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, chunk int, chunk_id string, section string, content string, contains_table boolean")
     return rows.withColumn("content_sha256", F.sha2("content", 256))
+
+
+_NUMBER = re.compile(r"(?:page|seite)?\s*[0-9]{1,4}(?:\s*(?:of|von|/)\s*[0-9]{1,4})?")
+_MARKERS = ("page ", "seite ", "copyright", "www.", "http", "module handbook", "modulhandbuch", "version ")
+
+
+def _droppable(line: str) -> bool:
+    """A page number, or a few words with a sign of a header or footer."""
+    return len(line) <= 120 and (_NUMBER.fullmatch(line) is not None or len(line.split()) <= 14 and any(m in line for m in _MARKERS))
+
+
+def without_noise(text: str, spans: list[tuple[int, int, int]], share: float = 0.35, least: int = 3) -> tuple[str, list[tuple[int, int | None]]]:
+    """The text without page labels and repeated headers and footers, and (offset, page) of each of its lines.
+
+    spans: (page, start, end) of the text. A line goes if it is a page number or label, or if it may be dropped and stands,
+    in any case and spacing, on at least max(least, share of pages) pages; documents of fewer than least pages keep such
+    lines. A line's page is that of the span it begins in.
+    """
+    ordered = sorted(spans, key=lambda s: s[1])
+    starts = [s[1] for s in ordered]
+    lines, at = [], 0
+    for line in text.split("\n"):
+        k = bisect_right(starts, at) - 1
+        page = ordered[k][0] if k >= 0 and at < max(ordered[k][2], ordered[k][1] + 1) else None
+        lines.append((line, " ".join(line.lower().split()), page))
+        at += len(line) + 1
+    held: dict[str, set] = {}
+    for _, normal, page in lines:
+        if normal and page is not None:
+            held.setdefault(normal, set()).add(page)
+    needed = max(least, int(len(ordered) * share)) if len(ordered) >= least else None
+    kept, places, at = [], [], 0
+    for line, normal, page in lines:
+        if normal and (_NUMBER.fullmatch(normal) or needed and len(held.get(normal, ())) >= needed and _droppable(normal)):
+            continue
+        kept.append(line)
+        places.append((at, page))
+        at += len(line) + 1
+    return "\n".join(kept), places
+
+
+def _pages_of(text: str, places: list[tuple[int, int | None]], body: str, cursor: int) -> tuple[list[int], int]:
+    """The sorted pages of the lines from where body's first line stands, at or after cursor, to where its last one does."""
+    filled = [x for x in body.split("\n") if x.strip()]
+    if not filled:
+        return [], cursor
+    start = text.find(filled[0], cursor)
+    start = start if start >= 0 else max(0, text.find(filled[0]))
+    end = text.find(filled[-1], start)
+    end = start if end < 0 else end
+    first = bisect_right(places, (start, 1 << 60)) - 1
+    last = bisect_right(places, (end, 1 << 60)) - 1
+    return sorted({p for _, p in places[max(0, first) : last + 1] if p is not None}), start
+
+
+def evidence(docs: DataFrame, key: str, text: str, pages: str, **limits: int) -> DataFrame:
+    """key, chunk, chunk_id, section (the title), content, contains_table, pages and content_sha256 of layout documents'
+    chunks, their repeated page noise taken out first.
+
+    pages is an array of struct(page, start, end). A document is folded as a whole, in batches of documents; null texts and
+    empty ones have no chunks, documents without pages have chunks without.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for k, t, spans in zip(pdf[key], pdf[text], pdf[pages], strict=True):
+                spans = [(s["page"], s["start"], s["end"]) for s in (spans if spans is not None else [])]
+                clean, places = without_noise(t or "", spans)
+                cursor, title = 0, None
+                for n, (name, content, table) in enumerate(page_chunks(clean, **limits)):
+                    body = content[len(name) + 2 :] if title == name and content.startswith(f"{name}\n\n") else content
+                    found, cursor = _pages_of(clean, places, body, cursor)
+                    title = name
+                    rows.append((k, n, f"pdf_{k}_{n + 1:04d}", name, content, table, found))
+            yield pd.DataFrame(rows, columns=[key, "chunk", "chunk_id", "section", "content", "contains_table", "pages"])
+
+    rows = docs.select(key, text, pages).mapInPandas(run, f"`{key}` {kind}, chunk int, chunk_id string, section string, content string, contains_table boolean, pages array<int>")
+    return rows.withColumn("content_sha256", F.sha2("content", 256))

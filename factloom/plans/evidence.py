@@ -9,15 +9,14 @@ from __future__ import annotations
 import gzip
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from factloom.functions import numbers, text, urls, values
-from factloom.operators import discovery, facts, layout, pdf_facts, profiles, usage
+from factloom.functions import html, numbers, text, values
+from factloom.operators import discovery, facts, frontier, layout, pdf_facts, profiles, usage
 from factloom.operators import enrichment as enriching
-from factloom.plans import web
+from factloom.plans import university, web
 from factloom.plans.captures import _host_files, sitemap_pages_sql
 from factloom.plans.records import _sides, enrich_merge_sql, table
 from factloom.sources import packs, scratch, services, sinks, sitemaps
@@ -416,6 +415,79 @@ def section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 section_types_sql = f"SELECT o_orderkey, CASE o_orderkey % {len(TITLES)} {' '.join(f'WHEN {i} THEN ' + repr(s) for i, (_, _, s) in enumerate(TITLES))} END AS section FROM orders"
 
+def _handbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layout document of every supplier, of three to seven pages: a header and a page label on each, a heading on odd
+    ones, so that a section goes on from an odd page to the next."""
+    k, n = F.col("s_suppkey"), F.col("n")
+    heading = F.when(n % 2 == 1, F.concat(F.lit("# Admission step "), n.cast("string"), F.lit("\n\n"))).otherwise(F.lit(""))
+    body = F.concat(F.lit("www.example.com  Handbook\n"), heading, F.lit("Send form "), n.cast("string"), F.lit(" of "), k.cast("string"), F.lit(" to the office.\n\nPage "), n.cast("string"), F.lit("\n\n"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(1), (3 + k % 5).cast("int"))).alias("n")).withColumn("body", body)
+    before = Window.partitionBy("s_suppkey").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.coalesce(F.sum(F.length("body")).over(before), F.lit(0)).cast("int"))
+    made = rows.groupBy("s_suppkey").agg(F.array_sort(F.collect_list(F.struct("n", "body", "start"))).alias("l"))
+    spans = F.transform("l", lambda x: F.struct(x["n"].alias("page"), x["start"].alias("start"), (x["start"] + F.length(x["body"])).alias("end")))
+    return made.select(F.concat(F.lit("s"), k.cast("string")).alias("key"), F.concat(F.lit("Programme "), k.cast("string")).alias("name"), F.array_join(F.transform("l", lambda x: x["body"]), "").alias("markdown"), spans.alias("pages"))
+
+
+def pdf_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CMP-03, FLT-10, AGG-10, STR-10, JON-07: chunks of handbooks without their page noise, with pages and section types."""
+    rows = html.evidence(_handbooks(spark, sf_dir), "key", "markdown", "pages")
+    kind = layout.section_type(F.col("section"), F.col("content"), layout.section_words())["section"]
+    return rows.select("key", "chunk", "chunk_id", "section", "content", "contains_table", F.array_join("pages", ",").alias("pages"), kind.alias("kind"))
+
+
+pdf_evidence_sql = """WITH p AS (SELECT s_suppkey AS k, unnest(range(1, 4 + s_suppkey % 5)) AS n FROM supplier),
+s AS (SELECT k, n - 1 + n % 2 AS step, string_agg('Send form ' || n || ' of ' || k || ' to the office.', chr(10) || chr(10) ORDER BY n) AS content, string_agg(n, ',' ORDER BY n) AS pages FROM p GROUP BY 1, 2)
+SELECT 's' || k AS key, CAST(step // 2 AS INTEGER) AS chunk, 'pdf_s' || k || '_' || lpad(CAST(step // 2 + 1 AS VARCHAR), 4, '0') AS chunk_id, 'Admission step ' || step AS section, content, false AS contains_table, pages, 'admission' AS kind FROM s"""
+
+
+def _handbook_model(content: str) -> str:
+    words = content.split()
+    if "form 1 of" not in content:
+        return '{"facts": []}'
+    k = words[words.index("of") + 1]
+    return f'{{"facts": [{{"category": "Fees", "field": "programme_title", "value": "name {k}"}}, {{"category": "admissions", "field": "total_credits", "value": "120"}}, {{"category": "Scholarships", "field": "grant", "value": "G{k}"}}, {{"category": "scholarships", "field": "Grant", "value": "g{k}"}}, {{"category": "fees", "field": " "}}]}}'
+
+
+def programme_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CMP-10, CMP-06, CMP-05, DED-04: web facts and handbooks to enriched, routed facts of every programme."""
+    k = F.col("s_suppkey")
+    none = F.lit(None).cast("string")
+    fact = lambda pos, category, field, value: F.struct(F.lit(pos).cast("long").alias("pos"), F.lit(category).alias("category"), F.lit(field).alias("field"), value.alias("value"))
+    made = F.array(fact(1, "fees", "Study Programme Name", F.concat(F.lit("Name "), k.cast("string"))), fact(2, "admission", "total ECTS", _case(k, F.lit(""), F.lit("120"), F.lit("60"))))
+    web_facts = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), k.cast("string")).alias("key"), F.lit("Programme").alias("type"), none.alias("id"), F.concat(F.lit("programme "), k.cast("string")).alias("name"), none.alias("parent_id"), none.alias("parent_name"), F.explode(made).alias("f")).select("key", "type", "id", "name", "parent_id", "parent_name", "f.*")
+    got = university.enriched(web_facts, _handbooks(spark, sf_dir), _handbook_model)
+    return got["facts"].select("key", "origin", "section", "field", "value", "status", F.size("supporting").alias("sources"), F.array_join("conflicts", ",").alias("conflicts"))
+
+
+programme_output_sql = """SELECT 's' || s_suppkey AS key, 'web' AS origin, 'fees' AS section, 'program_name' AS field, 'Name ' || s_suppkey AS value, 'confirmed' AS status, 1 AS sources, '' AS conflicts FROM supplier
+UNION ALL SELECT 's' || s_suppkey, 'web', 'admission', 'total_credits', ['120', '120', '60'][s_suppkey % 3 + 1], ['enriched', 'confirmed', 'conflict'][s_suppkey % 3 + 1], 1, CASE WHEN s_suppkey % 3 = 2 THEN '120' ELSE '' END FROM supplier
+UNION ALL SELECT 's' || s_suppkey, 'pdf', 'scholarships', 'grant', 'G' || s_suppkey, 'added_from_pdf', 1, '' FROM supplier"""
+
+
+def page_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NST-07, NST-08, SNK-03: Markdown of pages with every element that has a form in it, in numbered folders by host."""
+    k = F.col("s_suppkey").cast("string")
+    body = F.concat(F.lit('<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body><nav><a href="/x">nav</a></nav><!-- c --><article><h1>Title '), k, F.lit('</h1><p>One <b>two</b> &amp; <a href="/u">three</a>.<br>four  '), k, F.lit("</p><ul><li>first<li>second <i>x</i></li></ul><dl><dt>term<dd>what</dl><h3>Sub</h3><table><thead><tr><th>a</th><th><p>b</p></th></tr></thead><tr><td>1<td>2<br>3</tr><tr><td><table><tr><td>in</td></tr></table></td><td></td></tr></table>after</article><footer>f</footer></body></html>"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("h"), (F.col("s_suppkey") % 3).cast("string")).alias("host"), html.to_markdown(body).alias("markdown"))
+    return frontier.page_folders(rows, "host", "s_suppkey").select("s_suppkey", "host", "folder", "markdown", text.words(F.col("markdown")).alias("words"))
+
+
+page_shapes_sql = """WITH m AS (SELECT s_suppkey, 'h' || s_suppkey % 3 AS host, replace(replace('# Title K~~One two & three.~four K~~- first~- second x~~**term:** what~~### Sub~~| a | b |~| - | - |~| 1 | 2 3 |~| in | |~~after', 'K', CAST(s_suppkey AS VARCHAR)), '~', chr(10)) AS markdown FROM supplier)
+SELECT s_suppkey, host, lpad(CAST(row_number() OVER (PARTITION BY host ORDER BY s_suppkey) AS VARCHAR), 4, '0') AS folder, markdown, CAST(20 AS INTEGER) AS words FROM m"""
+
+
+def markdown_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NST-09: the blocks of Markdown of every kind: both heading forms, a table, fenced code, an HTML table, text."""
+    k = F.col("s_suppkey").cast("string")
+    body = F.concat(F.lit("Title "), k, F.lit("\n=====\n\npara "), k, F.lit("\nline two\n\n| a | b |\n| - | - |\n```\n# no heading\n```\n## Sub "), k, F.lit(" ##\ntext\n<table><tr><td><table></table></td>\n</tr></table>\nlast\n---\n#nothing"))
+    rows = html.blocks(table(spark, sf_dir, "supplier").select("s_suppkey", body.alias("body")), "s_suppkey", "body")
+    return rows.select("s_suppkey", "block", "type", "level", "content")
+
+
+markdown_parsed_sql = """WITH b(block, type, level, a, z) AS (VALUES (0, 'heading', 1, 'Title ', ''), (1, 'text', 0, 'para ', chr(10) || 'line two'), (2, 'table', 0, '| a | b |' || chr(10) || '| - | - |', NULL), (3, 'code', 0, '```' || chr(10) || '# no heading' || chr(10) || '```', NULL), (4, 'heading', 2, 'Sub ', ''), (5, 'text', 0, 'text', NULL), (6, 'table', 0, '<table><tr><td><table></table></td>' || chr(10) || '</tr></table>', NULL), (7, 'heading', 2, 'last', NULL), (8, 'text', 0, '#nothing', NULL))
+SELECT s_suppkey, block, type, level, CASE WHEN z IS NULL THEN a ELSE a || s_suppkey || z END AS content FROM supplier CROSS JOIN b"""
+
 NAMES = tuple(n for n in list(globals()) if f"{n}_sql" in globals())
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {n: globals()[f"{n}_sql"] for n in NAMES}

@@ -140,7 +140,7 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def enrich_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JON-04, JON-05, JON-06: the web fact that each PDF fact matches, its score and how."""
-    return enrichment.matches(*_sides(spark, sf_dir)).select("pdf_pos", "web_pos", F.round("score", 6).alias("score"), "how")
+    return enrichment.matches(*_sides(spark, sf_dir)).select("key", "pdf_pos", "web_pos", F.round("score", 6).alias("score"), "how")
 
 
 _TOK = lambda x: f"list_distinct(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}_]+'))"
@@ -161,7 +161,7 @@ wx AS (SELECT key, pos, t, unnest(t) AS x FROM wt), px AS (SELECT key, pos, t, u
 near AS (SELECT px.pos AS pdf_pos, wx.pos AS web_pos, any_value(len(list_intersect(wx.t, px.t))) AS c, any_value(len(wx.t)) AS n, any_value(len(px.t)) AS m FROM px JOIN wx USING (key, x) GROUP BY 1, 2),
 fuzzy AS (SELECT pdf_pos, web_pos, 70 + 20 * {_SIM} AS score FROM near WHERE {_SIM} >= 0.92 QUALIFY row_number() OVER (PARTITION BY pdf_pos ORDER BY {_SIM} DESC, web_pos) = 1),
 found AS (SELECT *, 'exact' AS how FROM exact UNION ALL SELECT *, 'fuzzy' FROM fuzzy)"""
-enrich_match_sql = f"WITH {MATCH} SELECT pdf_pos, web_pos, round(score, 6) AS score, how FROM found"
+enrich_match_sql = f"WITH {MATCH} SELECT w.key, pdf_pos, web_pos, round(score, 6) AS score, how FROM found JOIN web w ON w.pos = web_pos"
 
 
 def enrich_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import html, urls
-from factloom.operators import chunking, discovery, facts, links
+from factloom.operators import chunking, discovery, enrichment, facts, links
 from factloom.plans import web
 from factloom.plans.captures import _stub_model
 from factloom.sources import services
@@ -31,7 +31,27 @@ def run(pages: DataFrame, model: Callable[[str], str], limit: int | None = None)
     good = checked.where("problem is null").drop("problem")
     unique = facts.first_of(good, [F.col("page_id"), F.col("category"), F.col("field"), F.col("value")], ["chunk_id", "pos"])
     routed = unique.withColumn("section", facts.section_of(F.col("category")))
-    return {"queue": queue, "chunks": chunks, "calls": calls, "quarantine": checked.where("problem is not null"), "facts": routed}
+    return {"queue": queue, "chunks": chunks, "calls": calls, "rejects": rejects, "quarantine": checked.where("problem is not null"), "facts": routed}
+
+
+def enriched(web_facts: DataFrame, layouts: DataFrame, model: Callable[[str], str]) -> dict[str, DataFrame]:
+    """The PDF branch and the final output, by name: evidence chunks of layout documents, the model's facts with the
+    document's entity, web facts enriched by them, and all of it routed to sections.
+
+    web_facts: key, pos, category, type, id, name, parent_id, parent_name, field, value. layouts: key, name (the
+    programme's), markdown, pages (array of struct(page, start, end)), one document a key. Facts are compared under their
+    canonical names; a failed call is a row of calls, and facts that the PDF repeats count once.
+    """
+    chunks = html.evidence(layouts, "key", "markdown", "pages")
+    found, calls, rejects = services.extracted(chunks.select("chunk_id", "content"), model, attempts=1)
+    placed = found.join(chunks.select("chunk_id", "key", "chunk", F.col("pages").alias("source_pages")), "chunk_id")
+    entity = layouts.select("key", "name").distinct()
+    none = F.lit(None).cast("string")
+    pdf = placed.join(entity, "key").select("key", (F.col("chunk").cast("long") * 100_000 + F.col("pos")).alias("pos"), "category", F.lit("program").alias("type"), none.alias("id"), "name", none.alias("parent_id"), none.alias("parent_name"), "field", "value", "source_pages")
+    pdf = enrichment.canonical(pdf)
+    pdf = facts.first_of(pdf, [F.col("key"), F.col("category"), F.col("field"), F.lower("value")], ["pos"]).drop("copies")
+    joined = enrichment.enrich(enrichment.canonical(web_facts), pdf)
+    return {"chunks": chunks, "calls": calls, "rejects": rejects, "pdf_facts": pdf, "facts": joined.withColumn("section", facts.section_of(F.col("category")))}
 
 
 def university_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

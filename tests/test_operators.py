@@ -429,3 +429,39 @@ def test_slow_services_run_out_of_time(spark):
     assert {r["k"]: r["status"] for r in rows} == {1: "success", 2: "failed", 3: "success"}
     with pytest.raises(ValueError):
         frontier.expand(rows, rows, 3)
+
+
+def test_layout_chunks_carry_pages_and_no_noise(spark):
+    from factloom.functions import html
+
+    page = lambda n: f"Module Handbook 2024\n# Part {n}\n\nText of part {n}.\n\nModule Handbook\nSeite {n} von 4\n"
+    text, spans = "", []
+    for n in range(1, 5):
+        spans.append((n, len(text), len(text) + len(page(n))))
+        text += page(n)
+    clean, places = html.without_noise(text, spans)
+    assert "Seite" not in clean and "Handbook" not in clean and [p for _, p in places] == sorted(p for _, p in places)
+    assert "Handbook 2024" in html.without_noise(text, spans[:2])[0] and "Seite" not in html.without_noise(text, [])[0]
+    kind = "k string, t string, p array<struct<page: int, start: int, end: int>>"
+    rows = html.evidence(spark.createDataFrame([("a", text, spans), ("b", None, None), ("c", "plain", [])], kind), "k", "t", "p").collect()
+    assert [(r["k"], r["section"], r["content"], r["pages"]) for r in rows if r["k"] == "a"] == [("a", f"Part {n}", f"Text of part {n}.", [n]) for n in range(1, 5)]
+    assert [(r["k"], r["content"], r["pages"]) for r in rows if r["k"] != "a"] == [("c", "plain", [])]
+
+
+def test_downloads_and_liveness_rules(spark):
+    urls = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "url string")
+
+    def get(url):
+        if url == "c":
+            raise OSError("gone")
+        return (200, b"\xe4", None) if url == "a" else (404, b"", None)
+
+    got = {r["url"]: (r["result"], r["status"]) for r in services.downloaded(urls, get, delay=0.0).collect()}
+    assert got == {"a": ("ä", "success"), "b": (None, "failed"), "c": (None, "failed")}
+
+    def head(url):
+        if url == "c":
+            raise OSError("no route")
+        return 405 if url == "a" else 404
+
+    assert {r["url"]: r["alive"] for r in services.liveness(urls, head, lambda url: 200).collect()} == {"a": True, "b": False, "c": False}
