@@ -93,6 +93,14 @@ def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int | None = None, cut:
     return first.withColumn("programme", urls.looks_like_programme(F.col("url"), F.col("text"))).withColumn("follow", urls.worth_following(F.col("url"), F.col("text")))
 
 
+def crawl_host(starts: DataFrame, pages: DataFrame, cut: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """url of all links that a plain crawl of each start's very host comes upon, the starts included: every link on the host
+    is followed, whatever its words. starts: url in normal form. pages: page_id, url, html."""
+    found = page_links.anchors(pages.select("page_id", urls.normalise(F.col("url")).alias("src"), "html"))
+    edges = found.select("src", urls.normalise(urls.resolve(F.col("src"), F.col("href"))).alias("dst")).where(urls.host(F.col("src")) == urls.host(F.col("dst")))
+    return expand(starts.select(F.col("url").alias("node")), cut(edges.distinct(), "edges"), None, cut).select(F.col("node").alias("url"))
+
+
 def reach_sql(edges: str, seeds: str, max_depth: int) -> str:
     """Bounded reachability as a recursive query; for small graphs, since it keeps every path up to the bound."""
     return f"""WITH RECURSIVE walk(node, depth) AS (

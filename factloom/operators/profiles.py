@@ -41,6 +41,48 @@ def images(html: Column) -> Column:
     return F.array_distinct(F.filter(found, lambda u: any_of(F.lower(u), IMAGE_PARTS) & ~any_of(F.lower(u), IMAGE_BARRED)))
 
 
+def sections(html: Column) -> Column:
+    """array<struct<title, marked, content>> of a profile's headings in order: what stands after each up to the next one,
+    of any level, as plain text; marked: whether the heading bears a block's class. Headings without a title are none."""
+    parts = F.regexp_extract_all(html, F.lit(r"(?is)(<h[1-6]\b[^>]*>.*?</h[1-6]\s*>(?:(?!<h[1-6]\b).)*+)"), F.lit(1))
+    head, inside = r"(?is)^<h[1-6]\b([^>]*)>", r"(?is)^<h[1-6]\b[^>]*>(.*?)</h[1-6]\s*>"
+    found = F.transform(parts, lambda p: F.struct(plain(F.regexp_extract(p, inside, 1)).alias("title"), F.regexp_extract(p, head, 1).rlike(r"(?i)univ-block-heading|sec_name").alias("marked"), plain(F.regexp_replace(p, inside, "")).alias("content")))
+    return F.filter(F.coalesce(found, F.array().cast("array<struct<title: string, marked: boolean, content: string>>")), lambda s: s["title"] != "")
+
+
+def overview(found: Column) -> Column:
+    """The longest content of the sections whose title begins with the word about; '' without one."""
+    about = F.transform(F.filter(found, lambda s: s["title"].rlike(r"(?i)^about\b")), lambda s: F.struct(F.length(s["content"]).alias("n"), s["content"].alias("c")))
+    return F.coalesce(F.array_max(about)["c"], F.lit(""))
+
+
+def extra_sections(found: Column, barred: list[str]) -> Column:
+    """The filled sections under marked headings whose title holds none of the barred ones, each title and content once."""
+    good = F.filter(found, lambda s: s["marked"] & (s["content"] != "") & ~any_of(F.lower(s["title"]), barred))
+    return F.array_distinct(F.transform(good, lambda s: F.struct(s["title"].alias("title"), s["content"].alias("content"))))
+
+
+def scholarships(found: Column) -> Column:
+    """Whether scholarships are available, by their section's text; null without a section or text."""
+    text = F.get(F.filter(found, lambda s: s["title"].rlike(r"(?i)^scholarships?$")), F.lit(0))["content"]
+    return F.when(F.coalesce(text, F.lit("")) != "", ~text.rlike(r"(?i)\bno scholarships?\b|\bnot available\b|\bnone available\b"))
+
+
+def badges(html: Column) -> Column:
+    """array<struct<label, display, value>> of a profile's badges: the leading number as it is shown and as a number, and
+    the badge's title, or, without one, the rest of its text; each label and number once."""
+    texts = F.regexp_extract_all(html, F.lit(r'(?is)<div[^>]*class="[^"]*\bsingle-badge\b(?!-)[^"]*"[^>]*>(.*?)</div>'), F.lit(1))
+
+    def one(b: Column) -> Column:
+        shown = plain(b)
+        number = F.regexp_extract(shown, r"^([0-9][0-9,.]*[0-9]|[0-9])", 1)
+        title = plain(F.regexp_extract(b, r'(?is)class="[^"]*single-badge-title[^"]*"[^>]*>(.*?)</', 1))
+        label = F.when(title != "", title).otherwise(strip(F.regexp_replace(shown, r"^[0-9][0-9,.]*\+?", "")))
+        return F.struct(label.alias("label"), number.alias("display"), F.replace(number, F.lit(","), F.lit("")).try_cast("double").alias("value"))
+
+    return F.array_distinct(F.filter(F.transform(texts, one), lambda b: (b["label"] != "") | (b["display"] != "")))
+
+
 def campuses(rows: DataFrame, key: str, labels: list[str] | None = None) -> DataFrame:
     """key, name, address, pos: rows with a name or address that is no label; one per lower-case name and address."""
     barred = LABELS if labels is None else labels

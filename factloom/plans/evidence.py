@@ -465,6 +465,22 @@ UNION ALL SELECT 's' || s_suppkey, 'web', 'admission', 'total_credits', ['120',
 UNION ALL SELECT 's' || s_suppkey, 'pdf', 'scholarships', 'grant', 'G' || s_suppkey, 'added_from_pdf', 1, '' FROM supplier"""
 
 
+def profile_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NST-12: overview, badges, scholarships and further sections of made profiles; some have no such section."""
+    k = F.col("s_suppkey")
+    s = k.cast("string")
+    grants = _case(k, F.lit("There are <b>no scholarships</b> now"), F.lit("Apply for G"), F.lit(" "))
+    body = F.concat(F.lit('<div class="box single-badge"><b>1,'), F.lpad(s, 3, "0"), F.lit('</b> <span class="single-badge-title">Courses</span></div><div class="single-badge">25 Masters</div><div class="single-badge">25 Masters</div><h2 id="a">About us</h2><p>Short</p><div><h3>About '), s, F.lit("</h3><p>A longer text of "), s, F.lit("</p></div><h2>Scholarships</h2>"), grants, F.lit('<h2 class="univ-block-heading">Student Life</h2><ul><li>Clubs</li></ul><h4 class="sec_name">Rankings</h4>first<h2 class="sec_name">Empty</h2>'))
+    html_ = F.when(k % 4 == 3, F.lit("<p>nothing</p>")).otherwise(body)
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", html_.alias("html")).withColumn("s", profiles.sections(F.col("html")))
+    extra = profiles.extra_sections(F.col("s"), ["ranking", "scholarship"])
+    shown = F.transform(profiles.badges(F.col("html")), lambda b: F.concat_ws("=", b["label"], b["value"].cast("int").cast("string")))
+    return rows.select("s_suppkey", profiles.overview(F.col("s")).alias("overview"), F.array_join(shown, ";").alias("badges"), profiles.scholarships(F.col("s")).alias("available"), F.array_join(F.transform(extra, lambda x: F.concat_ws(": ", x["title"], x["content"])), ";").alias("further"))
+
+
+profile_sections_sql = """SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE 'A longer text of ' || s_suppkey END AS overview, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE 'Courses=' || 1000 + s_suppkey % 1000 || ';Masters=25' END AS badges, CASE WHEN s_suppkey % 4 = 3 THEN NULL WHEN s_suppkey % 3 = 0 THEN false WHEN s_suppkey % 3 = 1 THEN true END AS available, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE 'Student Life: Clubs' END AS further FROM supplier"""
+
+
 def page_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NST-07, NST-08, SNK-03: Markdown of pages with every element that has a form in it, in numbered folders by host."""
     k = F.col("s_suppkey").cast("string")

@@ -271,6 +271,21 @@ SELECT s.site, s.url, page_id, pos, text, regexp_matches(p || ' ' || trim(lower(
 FROM sited s JOIN w ON s.site = w.site AND s.base = w.url QUALIFY row_number() OVER (PARTITION BY s.site, s.url ORDER BY page_id, pos) = 1"""
 
 
+def crawl_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-09: what plain crawls come upon, each from the first captured page of a host."""
+    p = pages(spark, sf_dir)
+    starts = p.groupBy(urls.host(F.col("url")).alias("h")).agg(F.min_by("url", "page_id").alias("u")).select(urls.normalise(F.col("u")).alias("url"))
+    return frontier.crawl_host(starts, p, scratch.cutter(spark, "hosts"))
+
+
+crawl_hosts_sql = f"""
+WITH RECURSIVE norm AS (SELECT {NORMAL} AS url, page_id, html FROM (SELECT url AS u, page_id, html FROM pages)),
+{ANCHORS.replace('FROM pages)', 'FROM norm)')},
+e AS (SELECT DISTINCT base AS src, url AS dst FROM (SELECT base, {NORMAL} AS url FROM (SELECT base, url AS u FROM anchors)) WHERE {HOST} = regexp_extract(base, {PARTS}, 2)),
+w(url) AS (SELECT arg_min(url, page_id) FROM norm GROUP BY {HOST} UNION SELECT e.dst FROM e JOIN w ON e.src = w.url)
+SELECT DISTINCT url FROM w"""
+
+
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NST-07 (regex part), STR-04: the visible text of every page, without scripts, styles and other dropped elements."""
     dropped = r"(?is)<(script|style|noscript|svg|iframe|nav|footer)\b.*?</(?:script|style|noscript|svg|iframe|nav|footer)\s*>|<!--.*?-->"
@@ -280,6 +295,6 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 html_text_sql = f"""WITH t AS (SELECT page_id, {_PLAIN("regexp_replace(html, '(?is)<(script|style|noscript|svg|iframe|nav|footer)\\b.*?</(?:script|style|noscript|svg|iframe|nav|footer)\\s*>|<!--.*?-->', ' ', 'g')")} AS text FROM pages) SELECT page_id, text, length(text) AS characters FROM t"""
 
-NAMES = ("url_parts", "url_score", "links_discover", "links_summary", "links_top", "manifest_queue", "strategy_merge", "strategy_statistics", "site_search", "page_metadata", "page_reevaluation", "programme_predicates", "frontier_enqueue", "liveness_semi", "bfs_reach", "crawl_pages", "html_text")
+NAMES = ("url_parts", "url_score", "links_discover", "links_summary", "links_top", "manifest_queue", "strategy_merge", "strategy_statistics", "site_search", "page_metadata", "page_reevaluation", "programme_predicates", "frontier_enqueue", "liveness_semi", "bfs_reach", "crawl_pages", "crawl_hosts", "html_text")
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {n: globals()[f"{n}_sql"] for n in NAMES}
