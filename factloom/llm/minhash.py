@@ -361,3 +361,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def op1_minhash_components(documents: DataFrame) -> DataFrame:
     """The contract's rows, as near_duplicates() gives them."""
     return near_duplicates(documents)
+
+
+#: All pairs that share a shingle, compared on whole sets, and what each document reaches; for tables of some thousand rows.
+ORACLE = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+u AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+ways AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
+r(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, z.y FROM r JOIN ways z ON z.x = r.y)
+SELECT x AS doc_id, any_value(n.n) AS n_shingles, min(y) AS component_id, x = min(y) AS kept FROM r JOIN n ON n.doc_id = x GROUP BY x"""

@@ -52,4 +52,4 @@ def op9_weighted_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_components, op2_vector_best_fit, op3_audio_features, op4_rendezvous_sharding, op5_factorisation_machine, op6_transaction_assembly, op7_qgram_bands, op8_mph_token_files, op9_weighted_lexicon, op10_sentence_rules)}
 
-ORACLES: dict[str, str] = {"op10_sentence_rules": licenses.oracle()}
+ORACLES: dict[str, str] = {"op1_minhash_components": minhash.ORACLE, "op6_transaction_assembly": warc.ORACLE, "op10_sentence_rules": licenses.oracle()}

@@ -223,3 +223,11 @@ def op6_transaction_assembly(pages: DataFrame, least: int = 0) -> DataFrame:
         F.col("response.type").alias("record_type"),
         notes("refers-to-page").alias("refers_to"),
     )
+
+
+#: The digest of op6_transaction_assembly for pages with distinct ids: base32 of SHA-1, five hexadecimal digits at a time.
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS n, sha1(h) AS x FROM p),
+b AS (SELECT *, min(page_id) OVER (PARTITION BY x, n) AS first, array_to_string(list_transform(range(1, 41, 5), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(x, i, 5))::BIGINT >> s) % 32 + 1, 1)), '')), '') AS digest FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b"""
