@@ -108,6 +108,30 @@ def history(pages: DataFrame, key: str, html: str) -> DataFrame:
     return rows.select(key, "pos", numbers.year(F.col("cells")[0]).alias("year"), F.col("cells")[1].alias("rank")).where("year is not null").where(F.col("rank").rlike("[0-9]"))
 
 
+def listed_history(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """key, pos, year, rank of list items and paragraphs whose text is a year and a rank, such as "2024: #=61"."""
+    items = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<(?:li|p)\b[^>]*>(.*?)</(?:li|p)\s*>"), F.lit(1))
+    rows = pages.select(key, F.posexplode(F.transform(items, lambda x: plain(x))).alias("pos", "t"))
+    shape = r"^((?:19|20)[0-9]{2})\s*[:\-–]?\s*(?:rank(?:ed)?\s*)?(#?=?[0-9][0-9+\-–]*)$"
+    return rows.where(F.lower("t").rlike(shape)).select(key, "pos", F.regexp_extract(F.lower("t"), shape, 1).cast("int").alias("year"), F.regexp_extract(F.lower("t"), shape, 2).alias("rank"))
+
+
+def criteria_cards(html: Column) -> Column:
+    """array<struct<name, score>> of a reply's criteria: elements of a criterion's class or with a data-score; the score is
+    that attribute, else the last number of the text, and the name what else the text says; each once."""
+    card = r'(?is)<(?:div|li)\b([^>]*(?:class="[^"]*\b(?:criteria|criterion|indicator|ranking-indicator|score-item)\b[^"]*"|data-score="[^"]*")[^>]*>.*?)</(?:div|li)\s*>'
+    found = F.regexp_extract_all(html, F.lit(card), F.lit(1))
+
+    def one(c: Column) -> Column:
+        shown = plain(F.concat(F.lit("<x "), c))
+        told = F.regexp_extract(F.regexp_extract(c, r"(?s)^[^>]*", 0), r'data-score="([0-9.]+)"', 1)
+        said = F.regexp_extract(shown, r"([0-9]+(?:\.[0-9]+)?)\s*$", 1)
+        name = strip(F.regexp_replace(shown, r"[:\s]*[0-9]+(?:\.[0-9]+)?\s*$", ""))
+        return F.struct(name.alias("name"), F.when(told != "", told).otherwise(said).try_cast("double").alias("score"))
+
+    return F.array_distinct(F.filter(F.transform(found, one), lambda x: (x["name"] != "") | x["score"].isNotNull()))
+
+
 def points(json_text: Column) -> Column:
     """array<struct<year, rank, rank_numeric>> of a ranking reply's json_data points {x, y, r}; '#' before bare ranks."""
     kind = "array<struct<x: string, y: double, r: string>>"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from factloom.functions import numbers
 
 # Known rankings by id, and the form of their endpoints.
-KNOWN = {513: "World University Rankings", 4085: "Sustainability Rankings", 4093: "Europe University Rankings"}
+KNOWN = {513: "QS World University Rankings", 4085: "QS Sustainability Rankings", 4093: "QS Europe University Rankings"}
+GENERIC = ["ranking criteria", "rankings", "ranking"]
 ENDPOINT = r"/qs-profiles/rank-data/([0-9]+)/([0-9]+)/([0-9]+)"
 
 
@@ -26,6 +27,13 @@ def ranking_name(identity: Column) -> Column:
     return out
 
 
+def resolved_name(identity: Column, shown: Column) -> Column:
+    """A known ranking's name, else the name that its reply shows, unless that is a general one, else one made of the id."""
+    title = F.nullif(F.trim(F.coalesce(shown, F.lit(""))), F.lit(""))
+    own = F.when(~F.lower(title).isin(GENERIC), title)
+    return F.coalesce(ranking_name(identity), own, F.concat(F.lit("QS Ranking "), identity.cast("string")), F.lit("QS Ranking"))
+
+
 def history(records: DataFrame, keys: list[str]) -> DataFrame:
     """keys, year, rank, score and its parts: rows without a year out, one per (year, rank, score), newest first."""
     rows = records.where("year is not null").groupBy(*keys, "year", "rank", "score").agg(F.min("pos").alias("pos"))

@@ -481,6 +481,33 @@ def profile_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 profile_sections_sql = """SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE 'A longer text of ' || s_suppkey END AS overview, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE 'Courses=' || 1000 + s_suppkey % 1000 || ';Masters=25' END AS badges, CASE WHEN s_suppkey % 4 = 3 THEN NULL WHEN s_suppkey % 3 = 0 THEN false WHEN s_suppkey % 3 = 1 THEN true END AS available, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE 'Student Life: Clubs' END AS further FROM supplier"""
 
 
+def ranking_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CMP-09, SRC-19, NST-13, NST-15, JON-09: from profiles' markup to their rankings: endpoints, replies (some of which
+    failed), histories of tables and lists, current ranks, and the merge."""
+    k = F.col("c_custkey")
+    s = k.cast("string")
+    place = lambda i: F.concat(F.lit(f'<div data-url="\\/qs-profiles\\/rank-data\\/{i}\\/'), s, F.lit('\\/0"></div>'))
+    c = table(spark, sf_dir, "customer").select(k.alias("key"), F.concat(place(513), place(4085), place(513), F.when(k % 3 == 0, place(777)).otherwise(F.lit(""))).alias("html"), k.alias("c_custkey"))
+    cell = F.format_string("<tr><th>%d</th><td>#%03d</td></tr>", F.year("o_orderdate"), F.col("o_orderkey") % 500)
+    tables = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("profile_id")).agg(F.concat(F.lit("<h2>Ranking criteria</h2><table>"), F.array_join(F.array_sort(F.collect_list(cell)), ""), F.lit("</table>")).alias("result")).select(F.lit(513).cast("long").alias("ranking_id"), "profile_id", "result", F.lit("success").alias("status"))
+    lists = c.select(F.lit(4085).cast("long").alias("ranking_id"), F.col("key").cast("long").alias("profile_id"), F.concat(F.lit("<ul><li>2020: #"), F.col("key").cast("string"), F.lit("</li><li>2021 rank #="), F.col("key").cast("string"), F.lit('</li><li>2022 was a good year</li></ul><div class="criterion" data-score="7.5">Teaching</div><div class="score-item">Overall: 81.2</div>')).alias("result"), F.lit("success").alias("status"))
+    broken = c.where("key % 3 = 0").select(F.lit(777).cast("long").alias("ranking_id"), F.col("key").cast("long").alias("profile_id"), F.lit(None).cast("string").alias("result"), F.lit("failed").alias("status"))
+    replies = tables.withColumn("profile_id", F.col("profile_id").cast("long")).unionByName(lists).unionByName(broken)
+    got = university.profile_flow(c.select("key", "html"), replies)
+    shown = F.transform("rankings", lambda r: F.concat_ws(":", r["ranking_id"].cast("string"), r["year"].cast("string"), r["rank"]))
+    rows = got["profiles"].select("key", F.array_join(shown, ",").alias("rankings"), "ranking_count")
+    failed = got["failures"].groupBy("key").agg(F.count(F.lit(1)).alias("failed"))
+    told = got["criteria"].groupBy("key").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "name", F.col("score").cast("string")))), ",").alias("criteria"), F.max("ranking").alias("ranking"))
+    return rows.join(failed, "key", "left").join(told, "key", "left").fillna({"failed": 0})
+
+
+ranking_flow_sql = """WITH o AS (SELECT o_custkey AS k, year(o_orderdate) AS y, o_orderkey % 500 AS n FROM orders),
+a AS (SELECT k, 513 AS id, max(y) AS y, '#' || lpad(CAST(arg_min(n, n - y * 1000) AS VARCHAR), 3, '0') AS r FROM o GROUP BY k),
+u AS (SELECT * FROM a UNION ALL SELECT c_custkey, 4085, 2021, '#=' || c_custkey FROM customer),
+g AS (SELECT k, string_agg(id || ':' || y || ':' || r, ',' ORDER BY y DESC, id) AS rankings, CAST(count(*) AS INTEGER) AS n FROM u GROUP BY k)
+SELECT c_custkey AS key, rankings, n AS ranking_count, CAST(2 - n + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS failed, 'Overall=81.2,Teaching=7.5' AS criteria, 'QS Sustainability Rankings' AS ranking FROM customer JOIN g ON k = c_custkey"""
+
+
 def page_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NST-07, NST-08, SNK-03: Markdown of pages with every element that has a form in it, in numbered folders by host."""
     k = F.col("s_suppkey").cast("string")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import html, urls
-from factloom.operators import chunking, discovery, enrichment, facts, links
+from factloom.operators import chunking, discovery, enrichment, facts, links, profiles, rankings
 from factloom.plans import web
 from factloom.plans.captures import _stub_model
 from factloom.sources import services
@@ -54,6 +54,24 @@ def enriched(web_facts: DataFrame, layouts: DataFrame, model: Callable[[str], st
     return {"chunks": chunks, "calls": calls, "rejects": rejects, "pdf_facts": pdf, "facts": joined.withColumn("section", facts.section_of(F.col("category")))}
 
 
+def profile_flow(pages: DataFrame, replies: DataFrame) -> dict[str, DataFrame]:
+    """Ranking profiles, by name: profiles (key, rankings, ranking_count), failures (endpoints without a reply), criteria.
+
+    pages: key, html. replies: ranking_id, profile_id, result (HTML), status, as a fetch of the endpoints gives them. A
+    ranking's current record is that of its newest year in tables and lists; equal records of both count once.
+    """
+    ends = pages.select("key", F.explode(rankings.endpoints(F.col("html"))).alias("e")).select("key", "e.ranking_id", "e.profile_id").distinct()
+    got = ends.join(replies, ["ranking_id", "profile_id"], "left")
+    good = F.coalesce(F.col("status") == "success", F.lit(False))
+    read = got.where(good).select(F.struct("key", "ranking_id").alias("at"), "result")
+    rows = profiles.history(read, "at", "result").unionByName(profiles.listed_history(read, "at", "result"))
+    rows = rows.select("at.key", "at.ranking_id", "year", "rank", "pos", F.lit(None).cast("double").alias("score"))
+    current = rankings.current(rankings.history(rows, ["key", "ranking_id"]), ["key", "ranking_id"])
+    told = read.select("at.*", F.regexp_extract("result", r"(?is)<h[1-6]\b[^>]*>(.*?)</h", 1).alias("title"), F.explode(profiles.criteria_cards(F.col("result"))).alias("c"))
+    criteria = told.select("key", "ranking_id", rankings.resolved_name(F.col("ranking_id"), F.col("title")).alias("ranking"), "c.name", "c.score")
+    return {"profiles": rankings.merged(pages.select("key"), current, "key"), "failures": got.where(~good).select("key", "ranking_id", "profile_id", "status"), "criteria": criteria}
+
+
 def university_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CMP-10, CMP-04, CMP-05, DED-02: each page's facts by section, of a stub model's replies."""
     rows = run(web.pages(spark, sf_dir), _stub_model)["facts"]
