@@ -440,7 +440,7 @@ def test_layout_chunks_carry_pages_and_no_noise(spark):
         spans.append((n, len(text), len(text) + len(page(n))))
         text += page(n)
     clean, places = html.without_noise(text, spans)
-    assert "Seite" not in clean and "Handbook" not in clean and [p for _, p in places] == sorted(p for _, p in places)
+    assert "Seite" not in clean and "Handbook" not in clean and [p for _, p in places[:-1]] == [n for n in range(1, 5) for _ in range(4)]
     assert "Handbook 2024" in html.without_noise(text, spans[:2])[0] and "Seite" not in html.without_noise(text, [])[0]
     kind = "k string, t string, p array<struct<page: int, start: int, end: int>>"
     rows = html.evidence(spark.createDataFrame([("a", text, spans), ("b", None, None), ("c", "plain", [])], kind), "k", "t", "p").collect()
