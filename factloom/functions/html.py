@@ -6,6 +6,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from operator import itemgetter
 from urllib.parse import urldefrag, urljoin
 
 import pandas as pd
@@ -371,8 +372,8 @@ def _pages_of(text: str, places: list[tuple[int, int | None]], body: str, cursor
     start = start if start >= 0 else max(0, text.find(filled[0]))
     end = text.find(filled[-1], start)
     end = start if end < 0 else end
-    first = bisect_right(places, (start, 1 << 60)) - 1
-    last = bisect_right(places, (end, 1 << 60)) - 1
+    first = bisect_right(places, start, key=itemgetter(0)) - 1
+    last = bisect_right(places, end, key=itemgetter(0)) - 1
     return sorted({p for _, p in places[max(0, first) : last + 1] if p is not None}), start
 
 
